@@ -33,9 +33,8 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: st
     rely on it.)
     """
     salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(buckets)))
-    salted_dim = dim.withColumn("_dim_salt",
-                                F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))
-                                .cast("bigint"))
+    salted_dim = dim.withColumn("_dim_salt", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))))
     cond = ((salted_fact[fact_key] == salted_dim[dim_key])
             & (salted_fact["_salt"] == salted_dim["_dim_salt"]))
     return salted_fact.join(salted_dim, cond, "left").drop("_salt", "_dim_salt")
