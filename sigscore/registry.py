@@ -409,11 +409,15 @@ def q_save_table_gzip_partitioned(spark, sf):
     return _readback(spark, name)
 
 
-@register("overwrite_gzip_partitioned", COOK)
+@register("overwrite_gzip_partitioned", O.cook_sql(
+    key=f"CASE WHEN {PART_WHERE} THEN s.meta_past_id ELSE c.dim_key END"))
 def q_overwrite_gzip_partitioned(spark, sf):
+    """Fill a gzip table (dimension key kept), then overwrite dynamically with one hour of rows
+    that keep the signal's key: only that hour's partition is replaced."""
     name = _scored_table(spark, "sig_gzip_over", compression="gzip")
     W.overwrite_rows(spark, _cooked(spark, sf, key_side="dim"), name)
-    W.overwrite_rows(spark, _cooked(spark, sf), name, partition_mode="dynamic")
+    hour_rows = cook_signals(X.raw_signals(spark, sf, PART_DATE, PART_HOUR), _dim(spark))
+    W.overwrite_rows(spark, hour_rows, name, partition_mode="dynamic")
     return _readback(spark, name)
 
 

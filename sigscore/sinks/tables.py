@@ -8,8 +8,9 @@ partitions and file counts stay bounded. Nothing is coalesced to one task.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -95,19 +96,35 @@ def append(spark: SparkSession, df: DataFrame, table: str, rebalance: bool = Tru
     _by_name(_rebalanced(df, parts), cols).write.insertInto(table)
 
 
+@contextlib.contextmanager
+def session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Set a session setting for the duration of one write, then restore it."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def overwrite_rows(spark: SparkSession, df: DataFrame, table: str,
                    partition_mode: str = "dynamic", rebalance: bool = True) -> None:
     """Overwrite the rows of an existing table (a missing table is an error).
 
     ``partition_mode="dynamic"`` replaces only the partitions present in ``df``;
-    ``"static"`` empties the whole table first.
+    ``"static"`` empties the whole table first. ``insertInto`` ignores a writer option for
+    this, so the session setting is scoped around the one write.
     """
     if partition_mode not in ("dynamic", "static"):
         raise ValueError("partition_mode must be 'dynamic' or 'static'")
     cols = _table_columns(spark, table)
     parts = [c for c in PARTITION_COLUMNS if c in cols] if rebalance else []
-    (_by_name(_rebalanced(df, parts), cols).write
-     .option("partitionOverwriteMode", partition_mode).insertInto(table, overwrite=True))
+    rows = _by_name(_rebalanced(df, parts), cols)
+    with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", partition_mode):
+        rows.write.insertInto(table, overwrite=True)
 
 
 def save_table(df: DataFrame, name: str, fmt: str | None = None,
