@@ -1,14 +1,22 @@
-"""Size guards for broadcast joins and the skew-safe shuffle join used beyond them."""
+"""Size guards for broadcast joins and the skew-aware shuffle join used beyond them."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A dimension row here is a key and one or two longs (~24-40 bytes as an UnsafeRow), so two
 # million rows keep the broadcast hash relation well under 100 MB per executor.
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
-DEFAULT_SALT_BUCKETS = 64
+# Beyond the broadcast bound: a key holding more fact rows than this is split over several
+# shuffle partitions (about this many rows each).
+DEFAULT_ROWS_PER_TASK = 4_000_000
+# At most this many hot keys are split explicitly (the heaviest ones); lighter skew is left to
+# AQE's skew-join split, which is on as well.
+DEFAULT_MAX_HOT_KEYS = 10_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -22,19 +30,54 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def hot_key_salts(fact: DataFrame, key: str, rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+                  max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame | None:
+    """``(_hot_key, _n_salts)`` for the keys holding more than ``rows_per_task`` fact rows.
+
+    One aggregation over the key column (partial counts per task, so a hot key costs one row
+    per task in the shuffle) and a top-``max_hot_keys`` by count: the result is bounded by
+    construction. ``None`` when no key is hot.
+    """
+    counts = (fact.where(F.col(key).isNotNull()).groupBy(key)
+              .agg(F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") > rows_per_task)
+              .orderBy(F.col("_n").desc()).limit(max_hot_keys))
+    rows = counts.collect()
+    if not rows:
+        return None
+    key_type = fact.schema[key].dataType
+    schema = T.StructType([T.StructField("_hot_key", key_type),
+                           T.StructField("_n_salts", T.LongType())])
+    salts = [(r[0], int(math.ceil(r[1] / rows_per_task))) for r in rows]
+    return fact.sparkSession.createDataFrame(salts, schema)
+
+
 def salted_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                     buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                     rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+                     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
     """Left outer equi-join that stays balanced when one key holds a large share of the fact.
 
-    Each fact row gets a deterministic salt in ``[0, buckets)`` from a hash of the whole row;
-    every dimension row is copied once per salt. A hot key is thus spread over ``buckets``
-    shuffle partitions instead of one, and the join result is unchanged because every salt
-    sees every matching dimension row. (AQE's skew-join split is on as well; the salt does not
-    rely on it.)
+    Each hot key gets ``ceil(rows / rows_per_task)`` salt values: its fact rows take one of
+    them from a hash of the whole row (deterministic, so a recomputed task routes rows the
+    same way) and its dimension rows are copied once per salt. Cold keys keep salt 0 and one
+    copy. The join on ``(key, salt)`` is a single shuffle; every fact row still meets every
+    matching dimension row, so the result equals the plain join.
     """
-    salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(buckets)))
-    salted_dim = dim.withColumn("_dim_salt", F.explode(F.sequence(
-        F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))))
+    salts = hot_key_salts(fact, fact_key, rows_per_task, max_hot_keys)
+    if salts is None:
+        return fact.join(dim, fact[fact_key] == dim[dim_key], "left")
+    salts = F.broadcast(salts)
+    n_salts = F.coalesce(F.col("_n_salts"), F.lit(1).cast("bigint"))
+    fact_cols = fact.columns
+    salted_fact = (fact.join(salts, fact[fact_key] == salts["_hot_key"], "left")
+                   .select(*[F.col(c) for c in fact_cols],
+                           F.pmod(F.xxhash64(*[F.col(c) for c in fact_cols]), n_salts)
+                           .alias("_salt")))
+    dim_cols = dim.columns
+    salted_dim = (dim.join(salts, dim[dim_key] == salts["_hot_key"], "left")
+                  .select(*[F.col(c) for c in dim_cols],
+                          F.explode(F.sequence(F.lit(0).cast("bigint"), n_salts - 1))
+                          .alias("_dim_salt")))
     cond = ((salted_fact[fact_key] == salted_dim[dim_key])
             & (salted_fact["_salt"] == salted_dim["_dim_salt"]))
     return salted_fact.join(salted_dim, cond, "left").drop("_salt", "_dim_salt")
@@ -42,8 +85,9 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: st
 
 def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                 how: str = "left", broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """Fact-to-dimension equi-join: broadcast when the dimension is proven small, else salted.
+                rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
+    """Fact-to-dimension equi-join: broadcast when the dimension is proven small, else a
+    skew-aware shuffle join.
 
     The broadcast path never shuffles the fact: each fact partition probes the hash relation
     where it is. Key names must differ between the two sides.
@@ -52,7 +96,7 @@ def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
         return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], how)
     if how not in ("left", "left_outer", "inner"):
         raise ValueError(f"unsupported join type beyond the broadcast bound: {how}")
-    joined = salted_left_join(fact, dim, fact_key, dim_key, salt_buckets)
+    joined = salted_left_join(fact, dim, fact_key, dim_key, rows_per_task)
     if how == "inner":
         joined = joined.where(F.col(dim_key).isNotNull())
     return joined

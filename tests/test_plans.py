@@ -29,15 +29,31 @@ def test_salted_fallback_equals_broadcast(spark):
     raw = X.raw_signals(spark, SF_SMALL)
     dim = X.subtype_dim(spark)
     a = cook_signals(raw, dim)
-    b = cook_signals(raw, dim, broadcast_max_rows=0, salt_buckets=8)
+    b = cook_signals(raw, dim, broadcast_max_rows=0, rows_per_task=50)
     assert "BroadcastHashJoin" not in plan_text(b) or "SortMergeJoin" in plan_text(b)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    c = cook_signals(raw, dim, key_side="dim", broadcast_max_rows=0, salt_buckets=4)
+    c = cook_signals(raw, dim, key_side="dim", broadcast_max_rows=0, rows_per_task=1)
     d = cook_signals(raw, dim, key_side="dim")
     assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
 
 
+def test_hot_keys_are_split(spark):
+    from sigscore.operators.sizing import hot_key_salts, salted_left_join
+    # One key holds ~2/3 of the fact: it must be split into several salts.
+    fact = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN id ELSE 7 END AS k")
+    salts = {r[0]: r[1] for r in hot_key_salts(fact, "k", rows_per_task=100).collect()}
+    assert salts == {7: 20}
+    dim = spark.createDataFrame([(7, "seven"), (7, "again"), (3, "three")], "dk long, v string")
+    out = salted_left_join(fact, dim, "k", "dk", rows_per_task=100)
+    assert out.count() == 2000 * 2 + 1000
+    per_salt = (fact.where("k = 7").selectExpr("pmod(xxhash64(id, k), 20) AS s")
+                .groupBy("s").count().collect())
+    assert len(per_salt) == 20 and max(r[1] for r in per_salt) < 200
+    assert out.where("k = 3").collect()[0]["v"] == "three"
+    assert out.where("k = 0").collect()[0]["v"] is None
+
+
 def test_has_at_most(spark):
     df = spark.range(10)
     assert has_at_most(df, 10) and not has_at_most(df, 9) and not has_at_most(df, -1)
