@@ -40,9 +40,10 @@ def raw_signals(spark: SparkSession, sf_dir: str, date: str | dt.date | None = N
     """
     ev = table(spark, sf_dir, "events")
     if date is not None and hour is not None:
-        start, end = hour_bounds(date, hour)
-        ev = ev.where((F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
-                      & (F.col("ts") < F.lit(end).cast("timestamp_ntz")))
+        # Zone-free literals: text parsed straight to TIMESTAMP_NTZ.
+        start, end = (F.lit(b.isoformat(sep=" ")).cast("timestamp_ntz")
+                      for b in hour_bounds(date, hour))
+        ev = ev.where((F.col("ts") >= start) & (F.col("ts") < end))
     event_id, event_type = F.col("event_id"), F.col("event_type")
     raw = ev.select(
         F.col("user_id").alias("party_id"),
