@@ -28,7 +28,7 @@ from sigscore.schemas import (PARTITION_COLUMNS, SCORED_DATA_COLUMNS, SCORED_SCH
 from sigscore.session import scratch_path, unique_name
 from sigscore.sinks import tables as W
 from sigscore.sources import fixtures as X
-from sigscore.sources.delimited import load_csv_into_table, scan_csv, scan_csv_strings
+from sigscore.sources.delimited import create_csv_table, load_csv_into_table, scan_csv
 from sigscore.sources.generator import generate_signals
 from sigscore.sources.jdbc import read_dimension
 from sigscore.sources.tables import scan_partition, scan_table
@@ -105,9 +105,11 @@ def q_scan_csv(spark, sf):
 
 @register("scan_csv_strings", O.with_ctes("SELECT * FROM simple_strings"))
 def q_scan_csv_strings(spark, sf):
+    """Headerless CSV files under an external all-STRING table (``CREATE TABLE … USING csv``)."""
     path = scratch_path(spark, "simple_csv_str")
     X.simple_signals(spark, sf, as_strings=True).write.option("header", "false").csv(path)
-    return scan_csv_strings(spark, path)
+    name = create_csv_table(spark, unique_name("sig_csv_str"), SIMPLE_STRING_SCHEMA, path)
+    return spark.table(name)
 
 
 @register("load_csv_into_table", O.with_ctes("SELECT * FROM simple_signals"))

@@ -34,8 +34,9 @@ def _counts(spark, name):
             spark.table(name).groupBy("date", "hour").agg(F.count("*").alias("n")).collect()}
 
 
-def test_replace_partition_idempotent_and_isolated(spark):
-    name = _table(spark)
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "csv"])
+def test_replace_partition_idempotent_and_isolated(spark, fmt):
+    name = _table(spark, fmt)
     cooked = _cooked(spark)
     W.append(spark, cooked, name)
     before = _counts(spark, name)

@@ -8,7 +8,7 @@ from sigscore.operators.preview import describe_schema
 from sigscore.schemas import SIMPLE_SCHEMA
 from sigscore.session import scratch_path
 from sigscore.sources import (LOCAL_SAMPLE, frame_from_rows, generate_signals, jdbc_options,
-                              scan_csv)
+                              scan_csv, scan_csv_strings)
 
 from conftest import SF_SMALL
 
@@ -47,6 +47,9 @@ def test_scan_csv_headerless(spark):
     frame_from_rows(spark, LOCAL_SAMPLE, SIMPLE_SCHEMA).write.csv(path)
     got = sorted(tuple(r) for r in scan_csv(spark, path).collect())
     assert got == sorted(LOCAL_SAMPLE)
+    text = scan_csv_strings(spark, path)
+    assert dict(text.dtypes) == {"x1": "string", "x2": "string", "x3": "string"}
+    assert sorted(int(r.x1) for r in text.collect()) == sorted(r[0] for r in LOCAL_SAMPLE)
 
 
 def test_jdbc_options():
