@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sigscore.functions.curves import Curve
 from sigscore.operators.enrich import cook_signals
+from sigscore.session import apply_cluster_defaults
 from sigscore.sinks.tables import replace_partition
 from sigscore.sources.jdbc import read_dimension
 from sigscore.sources.tables import parse_partition, scan_partition
@@ -118,6 +119,7 @@ def main(argv: list[str] | None = None) -> int:
         with open(args.dimension_jdbc_json, encoding="utf-8") as fh:
             dimension = json.load(fh)
     spark = SparkSession.builder.appName("sigscore-hourly").getOrCreate()
+    apply_cluster_defaults(spark)
     cfg = replace(config_for(args.environment, dimension), key_side=args.key_side)
     run_hour(spark, cfg, args.date, args.hour, args.signal_type)
     return 0

@@ -50,3 +50,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
+# Sizing for a large cluster run (hundreds of TB). Applied by the job's entry point only where
+# the cluster configuration leaves a setting unset: ~256 MB scan splits and shuffle partitions
+# (AQE coalesces the generous initial shuffle count), skew splitting for joins and for the
+# rebalance before partitioned writes, and an explicit overwrite mode.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.sources.partitionOverwriteMode": "static",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession,
+                           defaults: dict[str, str] | None = None) -> dict[str, str]:
+    """Set each default that the session does not set explicitly; return what was applied."""
+    applied = {}
+    for key, value in (CLUSTER_DEFAULTS if defaults is None else defaults).items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied

@@ -67,3 +67,14 @@ def test_run_hour_dim_key_side(spark, job):
     out = run_hour(spark, cfg, "2024-01-03", 7)
     ids = {r[0] for r in out.select("meta_past_id").distinct().collect()}
     assert ids <= {1, 2, 4, None}
+
+
+def test_cluster_defaults_never_override(spark):
+    from sigscore.session import apply_cluster_defaults
+    applied = apply_cluster_defaults(spark, {"spark.sql.shuffle.partitions": "999",
+                                             "spark.sigscore.test.unset": "x"})
+    try:
+        assert applied == {"spark.sigscore.test.unset": "x"}
+        assert spark.conf.get("spark.sql.shuffle.partitions") != "999"
+    finally:
+        spark.conf.unset("spark.sigscore.test.unset")
