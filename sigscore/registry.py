@@ -23,8 +23,8 @@ from sigscore.operators import (add_null_column, add_product_column, cook_signal
                                 lookup_halflife, preview_rows, score_signals,
                                 score_signals_text_ts, select_score_inputs, select_two)
 from sigscore.plans.job import JobConfig, run_hour
-from sigscore.schemas import (PARTITION_COLUMNS, SCORED_DATA_COLUMNS, SCORED_SCHEMA,
-                              SIMPLE_SCHEMA, SIMPLE_STRING_SCHEMA)
+from sigscore.schemas import (PARTITION_COLUMNS, SCORED_SCHEMA, SIMPLE_SCHEMA,
+                              SIMPLE_STRING_SCHEMA)
 from sigscore.session import scratch_path, unique_name
 from sigscore.sinks import tables as W
 from sigscore.sources import fixtures as X
@@ -454,7 +454,3 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
-
-
-__all__ = ["queries", "oracle_sql", "PART_DATE", "PART_HOUR", "SCORED_DATA_COLUMNS",
-           "SIMPLE_STRING_SCHEMA"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import contextlib
 import datetime as dt
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -173,7 +173,3 @@ def insert_values(spark: SparkSession, table: str, date: str | dt.date, hour: in
                   f"SELECT {', '.join(f'`{c}`' for c in data_cols)} FROM `{view}`")
     finally:
         spark.catalog.dropTempView(view)
-
-
-def table_options(fmt: str) -> Mapping[str, str]:
-    return format_options(fmt)
