@@ -88,3 +88,15 @@ def test_count_is_partial_then_final(spark):
     from sigscore.operators import count_rows
     text = plan_text(count_rows(X.raw_signals(spark, SF_SMALL)))
     assert text.count("HashAggregate") >= 2
+
+
+def test_current_dimension_filter_reaches_the_scan(spark):
+    from sigscore.operators import dim_current
+    from sigscore.sources import read_dimension
+    path = scratch_path(spark, "dim_parquet")
+    X.subtype_dim(spark).write.parquet(path)
+    df = dim_current(read_dimension(spark, spark.read.parquet(path)))
+    check_plan(df, present=["PushedFilters: [IsNotNull(scd_is_active), "
+                            "IsNotNull(scd_is_deleted), EqualTo(scd_is_active,1), "
+                            "EqualTo(scd_is_deleted,0)]"])
+    assert sorted(r.meta_past_id for r in df.collect()) == [1, 2, 4, 4]
