@@ -41,6 +41,27 @@ def _sf_value(path: str) -> float | str:
         return tail
 
 
+def generated_events(spark, n: int, parts: int):
+    """``events``-shaped rows for the large-scale runs of the flagship (bench only).
+
+    30 days of timestamps; one event type ("view", subtype 2) holds a third of all rows, the
+    rest spread over the other four, so the hot-key path has something to split.
+    """
+    ident = F.col("id")
+    others = F.array(*[F.lit(t) for t in ("click", "purchase", "signup", "error")])
+    hot = F.pmod(F.xxhash64(ident), F.lit(3)) == 0
+    return spark.range(0, n, 1, parts).select(
+        ident.alias("event_id"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+         + F.make_dt_interval(secs=F.pmod(ident * 7919, F.lit(30 * 86400)).cast("int")))
+        .alias("ts"),
+        F.pmod(ident, F.lit(100_003)).alias("user_id"),
+        F.when(hot, F.lit("view"))
+        .otherwise(F.element_at(others, (F.pmod(F.xxhash64(ident, F.lit(1)), F.lit(4)) + 1)
+                                .cast("int"))).alias("event_type"),
+        F.round(F.rand(3) * 490, 2).alias("value"))
+
+
 def _noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -102,6 +123,22 @@ def main() -> None:
     W.save_table(simple_str, sf_strings, path=scratch_path(spark, sf_strings))
     times["score_and_save_sf"] = _timed(lambda: score_and_save(sf_strings))
 
+    # The flagship at 20 M rows: raw signals staged as a table (not timed), then the job's
+    # transform (read, score, join) into the noop sink or a Parquet table.
+    big_name = unique_name("bench_big_raw")
+    W.save_table(X.raw_signals_from_events(generated_events(spark, BASELINE_ROWS, CPUS * 2)),
+                 big_name, path=scratch_path(spark, big_name))
+    big_raw = spark.table(big_name)
+    times["cook_signals_20m"] = _timed(lambda: _noop(cook_signals(big_raw, dim)))
+    times["cook_signals_20m_skew_split"] = _timed(lambda: _noop(
+        cook_signals(big_raw, dim, broadcast_max_rows=0, rows_per_task=1_000_000)))
+
+    def save_big():
+        name = unique_name("bench_big_cooked")
+        W.save_table(cook_signals(big_raw, dim), name, fmt="parquet",
+                     path=scratch_path(spark, name))
+    times["cook_and_save_20m"] = _timed(save_big)
+
     gen_name = unique_name("bench_generated")
     W.save_table(generate_signals(spark, BASELINE_ROWS, seed=5, num_partitions=CPUS * 2,
                                   as_strings=True),

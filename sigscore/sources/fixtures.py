@@ -44,8 +44,18 @@ def raw_signals(spark: SparkSession, sf_dir: str, date: str | dt.date | None = N
         start, end = (F.lit(b.isoformat(sep=" ")).cast("timestamp_ntz")
                       for b in hour_bounds(date, hour))
         ev = ev.where((F.col("ts") >= start) & (F.col("ts") < end))
+    raw = raw_signals_from_events(ev)
+    if date is not None and hour is not None:
+        raw = raw.where((F.col("date") == F.lit(hour_bounds(date, hour)[0].date()))
+                        & (F.col("hour") == F.lit(int(hour))))
+    return raw
+
+
+def raw_signals_from_events(ev: DataFrame) -> DataFrame:
+    """The raw-signal projection of an ``events``-shaped frame
+    (event_id, ts, user_id, event_type, value)."""
     event_id, event_type = F.col("event_id"), F.col("event_type")
-    raw = ev.select(
+    return ev.select(
         F.col("user_id").alias("party_id"),
         (event_id % 97).alias("building_port_id"),
         (event_id % 211).alias("cpe_equipment_id"),
@@ -63,10 +73,6 @@ def raw_signals(spark: SparkSession, sf_dir: str, date: str | dt.date | None = N
         F.col("ts").cast("date").alias("date"),
         F.hour("ts").cast("int").alias("hour"),
     )
-    if date is not None and hour is not None:
-        raw = raw.where((F.col("date") == F.lit(hour_bounds(date, hour)[0].date()))
-                        & (F.col("hour") == F.lit(int(hour))))
-    return raw
 
 
 # The versioned subtype rows of the test dimension
