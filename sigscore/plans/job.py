@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sigscore.functions.curves import Curve
 from sigscore.operators.enrich import cook_signals
+from sigscore.schemas import RAW_SCHEMA, check_schema
 from sigscore.session import apply_cluster_defaults
 from sigscore.sinks.tables import replace_partition
 from sigscore.sources.jdbc import read_dimension
@@ -84,6 +85,7 @@ def cook_hour(spark: SparkSession, cfg: JobConfig, date: str | dt.date,
         raw = cfg.source_reader(spark, day, h)
     else:
         raw = scan_partition(spark, cfg.source_table, day, h)
+    check_schema(raw.schema, RAW_SCHEMA)
     return cook_signals(raw, _dimension(spark, cfg.dimension), cfg.key_side, cfg.curves)
 
 

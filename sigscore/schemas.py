@@ -73,3 +73,28 @@ SIMPLE_STRING_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in (
 def ddl(schema: T.StructType) -> str:
     """Column list of a schema in SQL DDL form, names back-quoted (`trigger`, `date`)."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+_TIMESTAMPS = {"timestamp", "timestamp_ntz"}
+
+
+def check_schema(df_schema: T.StructType, expected: T.StructType,
+                 columns: tuple[str, ...] | None = None) -> None:
+    """Raise ``ValueError`` when a required column is missing or has another type.
+
+    Metadata only (no data is read). The two timestamp types count as one, since a source
+    table may store either.
+    """
+    have = {f.name: f.dataType.simpleString() for f in df_schema.fields}
+    problems = []
+    for field in expected.fields:
+        if columns is not None and field.name not in columns:
+            continue
+        want = field.dataType.simpleString()
+        got = have.get(field.name)
+        if got is None:
+            problems.append(f"missing {field.name}")
+        elif got != want and not (got in _TIMESTAMPS and want in _TIMESTAMPS):
+            problems.append(f"{field.name}: {got}, expected {want}")
+    if problems:
+        raise ValueError("schema check failed: " + "; ".join(problems))

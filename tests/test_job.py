@@ -78,3 +78,26 @@ def test_cluster_defaults_never_override(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") != "999"
     finally:
         spark.conf.unset("spark.sigscore.test.unset")
+
+
+def test_schema_contracts(spark):
+    from sigscore.operators import cook_signals
+    from sigscore.schemas import RAW_SCHEMA, SCORED_SCHEMA, check_schema
+    raw = X.raw_signals(spark, SF_SMALL)
+    check_schema(raw.schema, RAW_SCHEMA)
+    cooked = cook_signals(raw, X.subtype_dim(spark))
+    check_schema(cooked.schema, SCORED_SCHEMA)
+    assert tuple(cooked.columns) == tuple(SCORED_SCHEMA.fieldNames())
+    with pytest.raises(ValueError, match="missing technical_value"):
+        check_schema(raw.drop("technical_value").schema, RAW_SCHEMA)
+    with pytest.raises(ValueError, match="meta_past_id: int"):
+        check_schema(raw.withColumn("meta_past_id", F.col("meta_past_id").cast("int")).schema,
+                     RAW_SCHEMA)
+
+
+def test_run_hour_rejects_wrong_source_schema(spark, job):
+    from dataclasses import replace
+    bad = replace(job, source_reader=lambda s, d, h: X.raw_signals(s, SF_SMALL, d, h)
+                  .drop("cust_relevance"))
+    with pytest.raises(ValueError, match="cust_relevance"):
+        run_hour(spark, bad, "2024-01-03", 7)
