@@ -18,9 +18,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from sigscore import registry as R  # noqa: E402
-from sigscore.functions.curves import speedtest  # noqa: E402
 from sigscore.operators import (cook_signals, count_rows, dim_duplicate_keys,  # noqa: E402
-                                lookup_halflife, score_signals)
+                                lookup_halflife, score_signals, score_simple)
 from sigscore.plans.job import JobConfig, run_hour  # noqa: E402
 from sigscore.schemas import PARTITION_COLUMNS, SCORED_SCHEMA  # noqa: E402
 from sigscore.session import build_session, scratch_path, unique_name  # noqa: E402
@@ -88,8 +87,7 @@ def main() -> None:
     times["lookup_halflife"] = _timed(lambda: lookup_halflife(dim, raw).collect())
     times["dim_duplicate_keys"] = _timed(lambda: dim_duplicate_keys(dim, raw).collect())
     simple_str = X.simple_signals(spark, SF_DIR, as_strings=True)
-    times["score_simple"] = _timed(lambda: _noop(simple_str.select(
-        "x1", speedtest(F.col("x1").try_cast("double")).alias("y"))))
+    times["score_simple"] = _timed(lambda: _noop(score_simple(simple_str)))
 
     def save_cooked():
         name = unique_name("bench_cooked")
@@ -115,9 +113,7 @@ def main() -> None:
 
     def score_and_save(source: str) -> None:
         name = unique_name("bench_scored")
-        df = spark.table(source)
-        W.save_table(df.select("x1", speedtest(F.col("x1").try_cast("double")).alias("y")),
-                     name, path=scratch_path(spark, name))
+        W.score_and_save(spark.table(source), name, path=scratch_path(spark, name))
 
     sf_strings = unique_name("bench_simple_str")
     W.save_table(simple_str, sf_strings, path=scratch_path(spark, sf_strings))

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigscore.functions.curves import Curve, score_expr
+from sigscore.functions.curves import Curve, score_expr, speedtest
 from sigscore.operators.dimension import dim_current
 from sigscore.operators.projections import with_text_timestamps
 from sigscore.operators.sizing import (DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_ROWS_PER_TASK,
@@ -25,6 +25,13 @@ def score_signals(raw: DataFrame, curves: Mapping[int, Curve] | None = None,
     return scored.select(*SCORED_NO_HALFLIFE_COLUMNS)
 
 
+def score_simple(df: DataFrame, column: str = "x1", out: str = "y",
+                 curve: Curve = speedtest) -> DataFrame:
+    """``column`` and its curve score ``out``. Text input is read with ``try_cast``: a value
+    that is not a number scores NULL instead of failing the job."""
+    return df.select(column, curve(F.col(column).try_cast("double")).alias(out))
+
+
 def score_signals_text_ts(raw: DataFrame, curves: Mapping[int, Curve] | None = None) -> DataFrame:
     """As ``score_signals`` with both timestamps rendered as text."""
     return with_text_timestamps(score_signals(raw, curves))

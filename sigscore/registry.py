@@ -21,7 +21,8 @@ from sigscore.functions.text import is_blank, normalise_text
 from sigscore.operators import (add_null_column, add_product_column, cook_signals,
                                 count_rows, dim_duplicate_keys, filter_gt, join_inner_alias,
                                 lookup_halflife, preview_rows, score_signals,
-                                score_signals_text_ts, select_score_inputs, select_two)
+                                score_signals_text_ts, score_simple, select_score_inputs,
+                                select_two)
 from sigscore.plans.job import JobConfig, run_hour
 from sigscore.schemas import (PARTITION_COLUMNS, SCORED_SCHEMA, SIMPLE_SCHEMA,
                               SIMPLE_STRING_SCHEMA)
@@ -230,8 +231,7 @@ def q_filter_gt(spark, sf):
     "SELECT x1, round(" + O.speedtest_sql("TRY_CAST(x1 AS DOUBLE)") + ", 6) AS y "
     "FROM simple_strings"))
 def q_score_simple(spark, sf):
-    df = X.simple_signals(spark, sf, as_strings=True)
-    return df.select("x1", F.round(speedtest(F.col("x1").try_cast("double")), 6).alias("y"))
+    return _round_score(score_simple(X.simple_signals(spark, sf, as_strings=True)), "y")
 
 
 @register("add_ten", O.with_ctes("SELECT x1, CAST(x1 + 10 AS DOUBLE) AS y FROM simple_signals"))
@@ -428,9 +428,8 @@ def q_overwrite_gzip_partitioned(spark, sf):
     "FROM simple_strings"))
 def q_score_and_save(spark, sf):
     name = unique_name("sig_simple_scored")
-    df = X.simple_signals(spark, sf, as_strings=True)
-    W.save_table(df.select("x1", speedtest(F.col("x1").try_cast("double")).alias("y")),
-                 name, path=scratch_path(spark, name))
+    W.score_and_save(X.simple_signals(spark, sf, as_strings=True), name,
+                     path=scratch_path(spark, name))
     return _round_score(spark.table(name), "y")
 
 

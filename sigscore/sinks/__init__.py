@@ -2,4 +2,4 @@
 
 from sigscore.sinks.tables import (append, create_table, insert_values,  # noqa: F401
                                    overwrite_rows, read_csv_files, replace_partition,
-                                   save_table, write_csv_files)
+                                   save_table, score_and_save, write_csv_files)

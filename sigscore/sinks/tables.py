@@ -173,3 +173,10 @@ def insert_values(spark: SparkSession, table: str, date: str | dt.date, hour: in
                   f"SELECT {', '.join(f'`{c}`' for c in data_cols)} FROM `{view}`")
     finally:
         spark.catalog.dropTempView(view)
+
+
+def score_and_save(df: DataFrame, name: str, path: str | None = None, column: str = "x1",
+                   out: str = "y", fmt: str | None = None) -> None:
+    """Score one column of a table and create or replace a two-column result table."""
+    from sigscore.operators.enrich import score_simple
+    save_table(score_simple(df, column, out), name, fmt=fmt, path=path)

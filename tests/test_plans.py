@@ -1,6 +1,5 @@
 """Physical plans: broadcast probe without shuffling the fact, pushdown, pruning, no Python."""
 
-from pyspark.sql import functions as F
 
 from sigscore.operators import cook_signals, select_score_inputs
 from sigscore.operators.sizing import has_at_most

@@ -11,12 +11,9 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from sigscore import registry as R  # noqa: E402
-from sigscore.functions.curves import speedtest  # noqa: E402
 from sigscore.operators import (cook_signals, count_rows, dim_duplicate_keys,  # noqa: E402
-                                lookup_halflife, select_score_inputs)
+                                lookup_halflife, score_simple, select_score_inputs)
 from sigscore.plans.inspect import plan_text  # noqa: E402
 from sigscore.plans.job import JobConfig, cook_hour  # noqa: E402
 from sigscore.schemas import PARTITION_COLUMNS  # noqa: E402
@@ -56,8 +53,7 @@ def main() -> None:
         ("multi-partition write input (rebalance on date, hour)",
          cook_signals(raw, dim).hint("rebalance", *PARTITION_COLUMNS)),
         ("score_and_save input (string column, try_cast, one codegen stage)",
-         X.simple_signals(spark, sf, as_strings=True)
-         .select("x1", speedtest(F.col("x1").try_cast("double")).alias("y"))),
+         score_simple(X.simple_signals(spark, sf, as_strings=True))),
     ]
     print(f"# Physical plans\n\nGenerated by `tools/dump_plans.py {sf}` on local[8] (PySpark "
           f"{spark.version}). Final adaptive plans after execution; expression ids and local "
