@@ -433,6 +433,24 @@ def q_score_and_save(spark, sf):
     return _round_score(spark.table(name), "y")
 
 
+# ----------------------------------------------------------------------------- streaming
+@register("cook_signals_stream", COOK)
+def q_cook_signals_stream(spark, sf):
+    """The job's incremental form: raw signals landed as files in two arrivals, each taken up
+    by an availableNow run of the stream; the exactly-once sink read back."""
+    from sigscore.schemas import SCORED_COLUMNS
+    from sigscore.streaming.hourly import read_raw_stream, start_cook_stream
+    landing, out, ckpt = (scratch_path(spark, n) for n in ("landing", "stream_out", "stream_ckpt"))
+    raw = _raw(spark, sf)
+    # Null-safe split: every row lands in exactly one arrival.
+    first_half = F.coalesce(F.col("date") < F.lit("2024-01-16").cast("date"), F.lit(False))
+    for arrival, part in (("a=1", first_half), ("a=2", ~first_half)):
+        raw.where(part).write.parquet(f"{landing}/{arrival}")
+        start_cook_stream(read_raw_stream(spark, f"{landing}/*"), _dim(spark), out,
+                          ckpt).awaitTermination()
+    return _round_score(spark.read.parquet(out).select(*SCORED_COLUMNS))
+
+
 # ----------------------------------------------------------------------------- job
 @register("run_hour", O.cook_sql(where=PART_WHERE))
 def q_run_hour(spark, sf):
