@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigscore.operators.sizing import (DEFAULT_BROADCAST_MAX_ROWS, has_at_most,
+from sigscore.operators.sizing import (DEFAULT_BROADCAST_MAX_BYTES, fits_broadcast,
                                        lookup_join)
 from sigscore.schemas import DIM_COLUMNS, DIM_COLUMNS_WIDE
 
@@ -26,7 +26,7 @@ def dim_current(dim: DataFrame) -> DataFrame:
 
 
 def lookup_halflife(dim: DataFrame, ids: Iterable[int] | DataFrame,
-                    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                    broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """Current half-life(s) of each requested subtype id, NULL when it has no current version.
 
     ``ids`` is a list of ids or a frame with a ``meta_past_id`` column (its distinct values,
@@ -42,7 +42,7 @@ def lookup_halflife(dim: DataFrame, ids: Iterable[int] | DataFrame,
         return (current.where(F.col("_dim_key").isin(wanted_ids))
                 .select(F.col("_dim_key").alias("meta_past_id"), "meta_past_halflife"))
     joined = lookup_join(wanted, current, "meta_past_id", "_dim_key", "left",
-                         broadcast_max_rows=broadcast_max_rows)
+                         broadcast_max_bytes=broadcast_max_bytes)
     return joined.select("meta_past_id", "meta_past_halflife")
 
 
@@ -67,14 +67,14 @@ def dim_duplicate_keys(dim: DataFrame, fact: DataFrame | None = None) -> DataFra
 
 def join_inner_alias(left: DataFrame, right: DataFrame, key: str = "meta_past_id",
                      left_alias: str = "l", right_alias: str = "r",
-                     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """Inner equi-join of two aliased frames keeping both key columns (renamed by alias).
 
     The right side is broadcast when it is proven small, else the join shuffles both sides.
     """
     l, r = left.alias(left_alias), right.alias(right_alias)
     cond = F.col(f"{left_alias}.{key}") == F.col(f"{right_alias}.{key}")
-    if has_at_most(right, broadcast_max_rows):
+    if fits_broadcast(right, broadcast_max_bytes):
         r = F.broadcast(r)
     joined = l.join(r, cond, "inner")
     cols = ([F.col(f"{left_alias}.{c}").alias(f"{left_alias}_{c}") if c == key

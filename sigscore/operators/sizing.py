@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A dimension row here is a key and one or two longs (~24-40 bytes as an UnsafeRow), so two
-# million rows keep the broadcast hash relation well under 100 MB per executor.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+# Broadcast budget: the measured size of the small side (fixed-width columns, plus the actual
+# bytes of variable-width ones) must stay under this. 64 MB keeps the hash relation cheap to
+# ship to a thousand executors.
+DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+_FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
+                "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+_ROW_HEADER_BYTES = 8
 # Beyond the broadcast bound: a key holding more fact rows than this is split over several
 # shuffle partitions (about this many rows each).
 DEFAULT_ROWS_PER_TASK = 4_000_000
@@ -30,6 +34,52 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def _fixed_width(data_type: T.DataType) -> int | None:
+    name = data_type.simpleString()
+    if name in _FIXED_WIDTH:
+        return _FIXED_WIDTH[name]
+    if isinstance(data_type, T.DecimalType):
+        return 8 if data_type.precision <= 18 else 16
+    return None
+
+
+def measured_size(df: DataFrame, max_bytes: int) -> tuple[int, int] | None:
+    """``(rows, bytes)`` of ``df`` when they are within ``max_bytes``, else ``None``.
+
+    One bounded pass: at most ``max_bytes // fixed_row_bytes + 1`` rows are read (the row
+    bound any fitting frame must meet), counting rows and summing the real byte length of
+    every variable-width value (strings, binary; JSON text for nested types). Each value
+    also counts an 8-byte slot.
+    """
+    fixed, variable = _ROW_HEADER_BYTES, []
+    for field in df.schema.fields:
+        width = _fixed_width(field.dataType)
+        fixed += 8 if width is None else width
+        if width is None:
+            col = F.col(field.name)
+            if not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+                col = F.to_json(col) if isinstance(field.dataType, (T.ArrayType, T.MapType,
+                                                                   T.StructType)) \
+                    else col.cast("string")
+            variable.append(F.coalesce(F.octet_length(col), F.lit(0)).cast("bigint"))
+    if max_bytes < fixed:
+        return None
+    max_rows = max_bytes // fixed
+    var_sum = sum(variable[1:], variable[0]) if variable else F.lit(0).cast("bigint")
+    row = (df.limit(max_rows + 1)
+           .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(var_sum), F.lit(0)).alias("v"))
+           .first())
+    rows, size = int(row["n"]), int(row["n"]) * fixed + int(row["v"])
+    if rows > max_rows or size > max_bytes:
+        return None
+    return rows, size
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df``'s measured size is proven to be within ``max_bytes``."""
+    return max_bytes >= 0 and measured_size(df, max_bytes) is not None
+
+
 def hot_key_salts(fact: DataFrame, key: str, rows_per_task: int = DEFAULT_ROWS_PER_TASK,
                   max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame | None:
     """``(_hot_key, _n_salts)`` for the keys holding more than ``rows_per_task`` fact rows.
@@ -84,15 +134,15 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: st
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                how: str = "left", broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                how: str = "left", broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
                 rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
-    """Fact-to-dimension equi-join: broadcast when the dimension is proven small, else a
-    skew-aware shuffle join.
+    """Fact-to-dimension equi-join: broadcast when the dimension's measured size is within
+    the budget, else a skew-aware shuffle join.
 
     The broadcast path never shuffles the fact: each fact partition probes the hash relation
     where it is. Key names must differ between the two sides.
     """
-    if has_at_most(dim, broadcast_max_rows):
+    if fits_broadcast(dim, broadcast_max_bytes):
         return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], how)
     if how not in ("left", "left_outer", "inner"):
         raise ValueError(f"unsupported join type beyond the broadcast bound: {how}")

@@ -28,11 +28,11 @@ def test_salted_fallback_equals_broadcast(spark):
     raw = X.raw_signals(spark, SF_SMALL)
     dim = X.subtype_dim(spark)
     a = cook_signals(raw, dim)
-    b = cook_signals(raw, dim, broadcast_max_rows=0, rows_per_task=50)
+    b = cook_signals(raw, dim, broadcast_max_bytes=0, rows_per_task=50)
     assert "BroadcastHashJoin" not in plan_text(b) or "SortMergeJoin" in plan_text(b)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    c = cook_signals(raw, dim, key_side="dim", broadcast_max_rows=0, rows_per_task=1)
+    c = cook_signals(raw, dim, key_side="dim", broadcast_max_bytes=0, rows_per_task=1)
     d = cook_signals(raw, dim, key_side="dim")
     assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
 
@@ -53,6 +53,19 @@ def test_hot_keys_are_split(spark):
     assert out.where("k = 0").collect()[0]["v"] is None
 
 
+def test_measured_size_is_exact_and_bounded(spark):
+    from sigscore.operators.sizing import fits_broadcast, measured_size
+    df = spark.createDataFrame([(1, "ab", 2.0), (2, None, None), (3, "\u00e9", 1.0)],
+                               "k long, s string, x double")
+    row_fixed = 8 + 8 + 8 + 8  # header, long, string slot, double
+    assert measured_size(df, 10_000) == (3, 3 * row_fixed + 2 + 0 + 2)  # é is 2 bytes
+    assert measured_size(df, 3 * row_fixed + 3) is None  # one byte short
+    assert fits_broadcast(df, 10_000) and not fits_broadcast(df, 0)
+    assert not fits_broadcast(df, -1)
+    nested = spark.createDataFrame([([1, 2],)], "a array<int>")
+    assert measured_size(nested, 1000) == (1, 8 + 8 + len("[1,2]"))
+
+
 def test_has_at_most(spark):
     df = spark.range(10)
     assert has_at_most(df, 10) and not has_at_most(df, 9) and not has_at_most(df, -1)

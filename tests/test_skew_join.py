@@ -25,7 +25,7 @@ def test_salted_equals_plain(spark, fact_keys, hot, hot_share, dim, rows_per_tas
     plain = fact.join(d, fact["k"] == d["dk"], "left")
     salted = salted_left_join(fact, d, "k", "dk", rows_per_task=rows_per_task)
     assert _rows(salted.select("id", "k", "dk", "v")) == _rows(plain.select("id", "k", "dk", "v"))
-    inner = lookup_join(fact, d, "k", "dk", "inner", broadcast_max_rows=-1,
+    inner = lookup_join(fact, d, "k", "dk", "inner", broadcast_max_bytes=-1,
                         rows_per_task=rows_per_task)
     assert _rows(inner.select("id", "k", "dk", "v")) == _rows(
         fact.join(d, fact["k"] == d["dk"], "inner").select("id", "k", "dk", "v"))
