@@ -30,3 +30,18 @@ def test_flagship_statistics_sf001(spark):
 
 def test_entry_rows_sf0001(spark):
     assert E.entry(spark).count() == 1199
+
+
+def test_row_count_is_sum_of_max_one_matches(spark):
+    from collections import Counter
+
+    from sigscore.operators import cook_signals, dim_current
+    from sigscore.sources import fixtures as X
+    from conftest import SF_SMALL
+    raw = X.raw_signals(spark, SF_SMALL)
+    dim = X.subtype_dim(spark)
+    matches = Counter(r.meta_past_id for r in dim_current(dim).collect())
+    per_id = {r[0]: r[1] for r in raw.groupBy("meta_past_id").count().collect()}
+    expected = sum(n * max(1, matches.get(i, 0)) for i, n in per_id.items())
+    assert cook_signals(raw, dim).count() == expected
+    assert cook_signals(raw, dim, key_side="dim").count() == expected
