@@ -101,3 +101,28 @@ def test_run_hour_rejects_wrong_source_schema(spark, job):
                   .drop("cust_relevance"))
     with pytest.raises(ValueError, match="cust_relevance"):
         run_hour(spark, bad, "2024-01-03", 7)
+
+
+def test_cli_main_end_to_end(spark):
+    from sigscore.plans.job import main
+    from sigscore.session import CLUSTER_DEFAULTS
+    unset_before = [k for k in CLUSTER_DEFAULTS if spark.conf.get(k, None) is None]
+    W.save_table(X.raw_signals(spark, SF_SMALL), "raw_signals", fmt="parquet",
+                 partition_by=PARTITION_COLUMNS, path=scratch_path(spark, "cli_raw"))
+    W.create_table(spark, "scored_signals", SCORED_SCHEMA, "parquet", PARTITION_COLUMNS,
+                   scratch_path(spark, "cli_scored"))
+    dim = unique_name("t_cli_dim")
+    W.save_table(X.subtype_dim(spark), dim, fmt="parquet", path=scratch_path(spark, dim))
+    try:
+        assert main(["2024-01-03", "07", " local ", "NA", "--dimension-table", dim]) == 0
+        got = spark.table("scored_signals")
+        raw_rows = X.raw_signals(spark, SF_SMALL, "2024-01-03", 7)
+        fan = raw_rows.where(F.col("meta_past_id") == 4).count()
+        assert got.count() == raw_rows.count() + fan
+        assert {(r.date, r.hour) for r in got.select("date", "hour").distinct().collect()} == \
+            {(dt.date(2024, 1, 3), 7)}
+    finally:
+        for key in unset_before:
+            spark.conf.unset(key)
+        spark.sql("DROP TABLE IF EXISTS raw_signals")
+        spark.sql("DROP TABLE IF EXISTS scored_signals")
