@@ -57,7 +57,13 @@ def main() -> None:
     ]
     print(f"# Physical plans\n\nGenerated by `tools/dump_plans.py {sf}` on local[8] (PySpark "
           f"{spark.version}). Final adaptive plans after execution; expression ids and local "
-          "paths stripped.\n")
+          "paths stripped.\n\n"
+          "How to read them: `*(n)` marks a whole-stage-codegen stage; `Exchange "
+          "hashpartitioning` is a shuffle; `BroadcastExchange` ships the (size-checked) small "
+          "side once; `PartitionFilters` / `PushedFilters` / `ReadSchema` show pruning and "
+          "pushdown into the scan. The flagship and the hourly job have no shuffle at all. In "
+          "the beyond-the-bound case the initial plan is a sort-merge join on `(key, salt)`; "
+          "on this small local data AQE demotes it to a broadcast at run time.\n")
     for title, df in cases:
         df.collect()  # execute, so the final adaptive plan is shown
         print(f"## {title}\n\n```\n{_clean(plan_text(df, 'simple'))}\n```\n")
