@@ -140,12 +140,15 @@ def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     the budget, else a skew-aware shuffle join.
 
     The broadcast path never shuffles the fact: each fact partition probes the hash relation
-    where it is. Key names must differ between the two sides.
+    where it is. Key names must differ between the two sides. A streaming fact cannot be
+    measured for hot keys, so beyond the budget it gets the plain stream-static shuffle join.
     """
     if fits_broadcast(dim, broadcast_max_bytes):
         return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], how)
     if how not in ("left", "left_outer", "inner"):
         raise ValueError(f"unsupported join type beyond the broadcast bound: {how}")
+    if fact.isStreaming:
+        return fact.join(dim, fact[fact_key] == dim[dim_key], how)
     joined = salted_left_join(fact, dim, fact_key, dim_key, rows_per_task)
     if how == "inner":
         joined = joined.where(F.col(dim_key).isNotNull())

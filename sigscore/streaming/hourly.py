@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sigscore.functions.curves import Curve
 from sigscore.operators.enrich import enrich_halflife, score_signals
 from sigscore.operators.dimension import dim_current
+from sigscore.operators.sizing import DEFAULT_BROADCAST_MAX_BYTES
 from sigscore.schemas import PARTITION_COLUMNS, RAW_SCHEMA
 
 
@@ -32,13 +33,16 @@ def read_raw_stream(spark: SparkSession, path: str, schema: T.StructType = RAW_S
 
 
 def cook_stream(raw_stream: DataFrame, dim: DataFrame, key_side: str = "fact",
-                curves: Mapping[int, Curve] | None = None) -> DataFrame:
+                curves: Mapping[int, Curve] | None = None,
+                broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """Streaming counterpart of ``cook_signals``.
 
     The dimension is a static (batch) frame: its bounded size check runs once when the query
     is defined, and the join is a stream-static broadcast probe (no shuffle of the stream).
+    Beyond the budget the stream is shuffle-joined with the static side.
     """
-    return enrich_halflife(score_signals(raw_stream, curves), dim_current(dim), key_side)
+    return enrich_halflife(score_signals(raw_stream, curves), dim_current(dim), key_side,
+                           broadcast_max_bytes)
 
 
 def start_cook_stream(raw_stream: DataFrame, dim: DataFrame, output_path: str,

@@ -27,3 +27,18 @@ def test_incremental_equals_batch(spark):
     want = cook_signals(raw, dim)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_stream_beyond_broadcast_budget(spark):
+    from sigscore.streaming.hourly import cook_stream
+    raw = X.raw_signals(spark, SF_SMALL)
+    dim = X.subtype_dim(spark)
+    landing, out, ckpt = (scratch_path(spark, n) for n in ("landing2", "stream_out2", "ckpt2"))
+    raw.write.parquet(landing + "/batch=1")
+    query = (cook_stream(read_raw_stream(spark, landing + "/*"), dim, broadcast_max_bytes=0)
+             .writeStream.format("parquet").option("checkpointLocation", ckpt)
+             .partitionBy("date", "hour").trigger(availableNow=True).start(out))
+    query.awaitTermination()
+    got = spark.read.parquet(out).select(*SCORED_COLUMNS)
+    want = cook_signals(raw, dim)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
