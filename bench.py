@@ -30,6 +30,8 @@ from sigscore.sources.generator import generate_signals  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 BASELINE_ROWS = int(os.environ.get("BENCH_BASELINE_ROWS", "20000000"))
+# Optional: a folder for Spark's event log (stage and task times, read offline; no UI).
+EVENT_LOG_DIR = os.environ.get("BENCH_EVENT_LOG_DIR")
 
 
 def _sf_value(path: str) -> float | str:
@@ -72,7 +74,9 @@ def _timed(fn) -> float:
 
 
 def main() -> None:
-    spark = build_session(f"local[{CPUS}]", max(CPUS, 8), "sigscore-bench")
+    extra = ({"spark.eventLog.enabled": "true", "spark.eventLog.dir": EVENT_LOG_DIR}
+             if EVENT_LOG_DIR else None)
+    spark = build_session(f"local[{CPUS}]", max(CPUS, 8), "sigscore-bench", extra)
     dim = X.subtype_dim(spark)
     raw = X.raw_signals(spark, SF_DIR)
     times: dict[str, float] = {}
