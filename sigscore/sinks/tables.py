@@ -12,7 +12,8 @@ import contextlib
 import datetime as dt
 from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sigscore.schemas import PARTITION_COLUMNS, ddl
@@ -68,22 +69,39 @@ def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def replace_partition(spark: SparkSession, df: DataFrame, table: str,
-                      date: str | dt.date, hour: int | str) -> None:
-    """Idempotently replace one ``(date, hour)`` partition of ``table`` with ``df``'s rows.
-
-    A static-partition ``INSERT OVERWRITE``: the partition is emptied even when ``df`` holds
-    no row for it, and every other partition is left as it is. Rows of other hours in ``df``
-    are not written here. The values are validated (ISO date, hour 0..23) before they reach
-    the statement.
+                      date: str | dt.date, hour: int | str) -> int:
+    """Idempotently replace one ``(date, hour)`` partition of ``table`` with ``df``'s rows;
+    return the number of rows written.
+
+    The rows are written with dynamic partition overwrite: Spark stages the new files and
+    swaps the partition only when the job commits, so a failed job leaves the old hour in
+    place. An ``Observation`` on the same write counts the rows that went through; when there
+    were none (dynamic overwrite would then keep the old rows), the partition is emptied with
+    a static ``INSERT OVERWRITE`` of nothing. Every other partition is left as it is, rows of
+    other hours in ``df`` are not written, and the values are validated (ISO date, hour 0..23)
+    before they reach any statement.
     """
     day, h = parse_partition(date, hour)
-    data_cols = [c for c in _table_columns(spark, table) if c not in PARTITION_COLUMNS]
-    rows = _by_name(df.where(partition_predicate(day, h)), data_cols)
-    view = unique_name("_replace_src")
-    rows.createOrReplaceTempView(view)
+    cols = _table_columns(spark, table)
+    seen = Observation(unique_name("replace_rows"))
+    rows = (_by_name(df.where(partition_predicate(day, h)), cols)
+            .observe(seen, F.count(F.lit(1)).alias("rows")))
+    with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        rows.write.insertInto(table, overwrite=True)
+    written = int(seen.get["rows"])
+    if written == 0:
+        _clear_partition(spark, table, day, h)
+    return written
+
+
+def _clear_partition(spark: SparkSession, table: str, day: dt.date, hour: int) -> None:
+    target = spark.table(table).schema
+    data_schema = T.StructType([f for f in target.fields if f.name not in PARTITION_COLUMNS])
+    view = unique_name("_empty_src")
+    spark.createDataFrame([], data_schema).createOrReplaceTempView(view)
     try:
         spark.sql(f"INSERT OVERWRITE TABLE {_quote(table)} "
-                  f"PARTITION (`date` = DATE'{day.isoformat()}', `hour` = {h}) "
+                  f"PARTITION (`date` = DATE'{day.isoformat()}', `hour` = {hour}) "
                   f"SELECT * FROM `{view}`")
     finally:
         spark.catalog.dropTempView(view)

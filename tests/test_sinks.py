@@ -62,6 +62,27 @@ def test_replace_partition_empty_input_clears_only_that_partition(spark):
     assert after == before
 
 
+def test_replace_partition_failed_write_keeps_old_rows(spark):
+    name = _table(spark)
+    cooked = _cooked(spark)
+    W.append(spark, cooked, name)
+    before = _counts(spark, name)
+    boom = F.raise_error(F.lit("simulated failure")).cast("double")
+    bad = cooked.withColumn("score", F.when(F.col("root_id") >= 0, boom))
+    with pytest.raises(Exception):
+        W.replace_partition(spark, bad, name, D1, H1)
+    assert _counts(spark, name) == before
+
+
+def test_replace_partition_returns_rows_written(spark):
+    name = _table(spark)
+    cooked = _cooked(spark)
+    want = cooked.where((F.col("date") == dt.date.fromisoformat(D1))
+                        & (F.col("hour") == H1)).count()
+    assert W.replace_partition(spark, cooked, name, D1, H1) == want > 0
+    assert W.replace_partition(spark, cooked.where(F.lit(False)), name, D1, H1) == 0
+
+
 def test_replace_partition_ignores_other_hours_in_input(spark):
     name = _table(spark)
     W.replace_partition(spark, _cooked(spark), name, D1, H1)
