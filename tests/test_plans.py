@@ -66,6 +66,14 @@ def test_measured_size_is_exact_and_bounded(spark):
     assert measured_size(nested, 1000) == (1, 8 + 8 + len("[1,2]"))
 
 
+def test_exchange_counts(spark):
+    from sigscore.plans.inspect import exchange_count
+    raw, dim = X.raw_signals(spark, SF_SMALL), X.subtype_dim(spark)
+    assert exchange_count(cook_signals(raw, dim)) == 0
+    # Past the budget: the fact and the dimension are each shuffled once on (key, salt).
+    assert exchange_count(cook_signals(raw, dim, broadcast_max_bytes=0, rows_per_task=50)) == 2
+
+
 def test_has_at_most(spark):
     df = spark.range(10)
     assert has_at_most(df, 10) and not has_at_most(df, 9) and not has_at_most(df, -1)
