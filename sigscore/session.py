@@ -35,14 +35,31 @@ def scratch_root(spark: SparkSession) -> str:
     shared storage on a cluster as well, and register it as the checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    context = _context(spark)
+    if not root and context is not None:
+        root = context.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_sigscore_scratch"
-        spark.sparkContext.setCheckpointDir(root)
+        if context is not None:
+            context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # a Connect session has no SparkContext
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    context = _context(spark)
+    if context is not None:
+        return context.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the scratch root."""
     return f"{scratch_root(spark)}/sigscore/{name}_{uuid.uuid4().hex[:12]}"

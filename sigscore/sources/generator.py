@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sigscore.session import default_parallelism
+
 # Each generated column is uniform over the integers 1..10.
 GEN_LOW, GEN_HIGH = 1, 10
 
@@ -24,7 +26,7 @@ def generate_signals(spark: SparkSession, rows: int | DataFrame, seed: int = 7,
     if isinstance(rows, DataFrame):
         base = rows.select()
     else:
-        parts = num_partitions or spark.sparkContext.defaultParallelism
+        parts = num_partitions or default_parallelism(spark)
         base = spark.range(0, int(rows), 1, parts)
     out = base.select(*[_uniform(seed + i).alias(f"x{i + 1}") for i in range(3)])
     if as_strings:
