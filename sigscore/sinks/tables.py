@@ -27,11 +27,18 @@ CSV_OPTIONS = {"header": "false", "sep": ",",
 
 
 def _quote(name: str) -> str:
-    return ".".join(f"`{part}`" for part in name.split("."))
+    """A possibly qualified table name as back-quoted identifiers."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
-def format_options(fmt: str, compression: str | None = None) -> dict[str, str]:
-    opts = dict(CSV_OPTIONS) if fmt == "csv" else {}
+def _literal(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def format_options(fmt: str, compression: str | None = None,
+                   csv_options: dict[str, str] | None = None) -> dict[str, str]:
+    opts = {**CSV_OPTIONS, **(csv_options or {})} if fmt == "csv" else {}
     if compression:
         opts["compression"] = compression
     return opts
@@ -39,16 +46,18 @@ def format_options(fmt: str, compression: str | None = None) -> dict[str, str]:
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, fmt: str = "parquet",
                  partition_by: Sequence[str] = PARTITION_COLUMNS, location: str | None = None,
-                 compression: str | None = None) -> str:
+                 compression: str | None = None,
+                 csv_options: dict[str, str] | None = None) -> str:
     """``CREATE TABLE … USING fmt [PARTITIONED BY] [LOCATION]`` (a datasource table)."""
-    opts = format_options(fmt, compression)
+    opts = format_options(fmt, compression, csv_options)
     sql = f"CREATE TABLE {_quote(name)} ({ddl(schema)}) USING {fmt}"
     if opts:
-        sql += " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in opts.items()) + ")"
+        sql += " OPTIONS (" + ", ".join(f"{_literal(k)} {_literal(v)}"
+                                        for k, v in opts.items()) + ")"
     if partition_by:
         sql += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
     if location:
-        sql += f" LOCATION '{location}'"
+        sql += f" LOCATION {_literal(location)}"
     spark.sql(sql)
     return name
 

@@ -24,9 +24,8 @@ def scan_csv_strings(spark: SparkSession, path: str,
 def create_csv_table(spark: SparkSession, name: str, schema: T.StructType, location: str,
                      sep: str = ",") -> str:
     """External headerless CSV table over a folder (``CREATE TABLE … USING csv LOCATION``)."""
-    from sigscore.schemas import ddl
-    spark.sql(f"CREATE TABLE `{name}` ({ddl(schema)}) USING csv "
-              f"OPTIONS (header 'false', sep '{sep}') LOCATION '{location}'")
+    from sigscore.sinks.tables import create_table
+    create_table(spark, name, schema, "csv", (), location, csv_options={"sep": sep})
     return name
 
 
