@@ -7,8 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigscore.operators.sizing import (DEFAULT_BROADCAST_MAX_BYTES, fits_broadcast,
-                                       lookup_join)
+from sigscore.operators.sizing import DEFAULT_BROADCAST_MAX_BYTES, lookup_join
 from sigscore.schemas import DIM_COLUMNS, DIM_COLUMNS_WIDE
 
 
@@ -68,17 +67,18 @@ def dim_duplicate_keys(dim: DataFrame, fact: DataFrame | None = None) -> DataFra
 def join_inner_alias(left: DataFrame, right: DataFrame, key: str = "meta_past_id",
                      left_alias: str = "l", right_alias: str = "r",
                      broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
-    """Inner equi-join of two aliased frames keeping both key columns (renamed by alias).
+    """Inner equi-join of two aliased frames keeping both key columns, named
+    ``<alias>_<key>``; other columns keep their names unless both sides have them.
 
-    The right side is broadcast when it is proven small, else the join shuffles both sides.
+    Planned like every fact-to-dimension join here: the right side is broadcast when its
+    measured size is within the budget, else a skew-aware shuffle join on the key.
     """
-    l, r = left.alias(left_alias), right.alias(right_alias)
-    cond = F.col(f"{left_alias}.{key}") == F.col(f"{right_alias}.{key}")
-    if fits_broadcast(right, broadcast_max_bytes):
-        r = F.broadcast(r)
-    joined = l.join(r, cond, "inner")
-    cols = ([F.col(f"{left_alias}.{c}").alias(f"{left_alias}_{c}") if c == key
-             else F.col(f"{left_alias}.{c}") for c in left.columns]
-            + [F.col(f"{right_alias}.{c}").alias(f"{right_alias}_{c}") if c == key
-               else F.col(f"{right_alias}.{c}") for c in right.columns])
-    return joined.select(*cols)
+    both = (set(left.columns) & set(right.columns)) - {key}
+
+    def renamed(df: DataFrame, alias: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"{alias}_{c}") if c == key or c in both
+                           else F.col(c) for c in df.columns])
+
+    l, r = renamed(left, left_alias), renamed(right, right_alias)
+    return lookup_join(l, r, f"{left_alias}_{key}", f"{right_alias}_{key}", "inner",
+                       broadcast_max_bytes=broadcast_max_bytes)

@@ -120,3 +120,17 @@ def test_current_dimension_filter_reaches_the_scan(spark):
                             "IsNotNull(scd_is_deleted), EqualTo(scd_is_active,1), "
                             "EqualTo(scd_is_deleted,0)]"])
     assert sorted(r.meta_past_id for r in df.collect()) == [1, 2, 4, 4]
+
+
+def test_join_inner_alias_beyond_budget_equals_broadcast(spark):
+    from sigscore.operators import join_inner_alias
+    left = X.raw_signals(spark, SF_SMALL).select("root_id", "meta_past_id")
+    dim = X.subtype_dim(spark)
+    a = join_inner_alias(left, dim)
+    b = join_inner_alias(left, dim, broadcast_max_bytes=0)
+    assert a.columns == b.columns == ["root_id", "l_meta_past_id", "r_meta_past_id",
+                                      "meta_pat_id", "meta_past_halflife", "scd_is_active",
+                                      "scd_is_deleted"]
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    both = join_inner_alias(dim, dim)
+    assert "l_meta_pat_id" in both.columns and "r_meta_pat_id" in both.columns
