@@ -28,18 +28,17 @@ def lookup_halflife(dim: DataFrame, ids: Iterable[int] | DataFrame,
                     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """Current half-life(s) of each requested subtype id, NULL when it has no current version.
 
-    ``ids`` is a list of ids or a frame with a ``meta_past_id`` column (its distinct values,
-    aggregated map-side first, are looked up). The three equality tests are separate filters,
-    merged into one by Catalyst.
+    ``ids`` is a caller's list of ids or a frame with a ``meta_past_id`` column (its distinct
+    values, aggregated map-side first, are looked up). The three equality tests are separate
+    filters, merged into one by Catalyst.
     """
     current = (dim.where(F.col("scd_is_active") == 1).where(F.col("scd_is_deleted") == 0)
                .select(F.col("meta_past_id").alias("_dim_key"), "meta_past_halflife"))
     if isinstance(ids, DataFrame):
         wanted = ids.select("meta_past_id").distinct()
     else:
-        wanted_ids = sorted({int(i) for i in ids})
-        return (current.where(F.col("_dim_key").isin(wanted_ids))
-                .select(F.col("_dim_key").alias("meta_past_id"), "meta_past_halflife"))
+        wanted = dim.sparkSession.createDataFrame(
+            [(i,) for i in sorted({int(i) for i in ids})], "meta_past_id bigint")
     joined = lookup_join(wanted, current, "meta_past_id", "_dim_key", "left",
                          broadcast_max_bytes=broadcast_max_bytes)
     return joined.select("meta_past_id", "meta_past_halflife")
