@@ -77,6 +77,36 @@ def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+@contextlib.contextmanager
+def session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Set a session setting for the duration of one write, then restore it."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+@contextlib.contextmanager
+def dynamic_partition_write(spark: SparkSession, overwrite_mode: str | None = None
+                            ) -> Iterator[None]:
+    """Scope for a write whose partitions come from the data: Hive-format targets need
+    ``hive.exec.dynamic.partition.mode=nonstrict`` (harmless for datasource tables), and an
+    overwrite needs its partition overwrite mode set explicitly."""
+    with contextlib.ExitStack() as stack:
+        stack.enter_context(session_conf(spark, "hive.exec.dynamic.partition", "true"))
+        stack.enter_context(session_conf(spark, "hive.exec.dynamic.partition.mode",
+                                         "nonstrict"))
+        if overwrite_mode:
+            stack.enter_context(session_conf(
+                spark, "spark.sql.sources.partitionOverwriteMode", overwrite_mode))
+        yield
+
+
 def replace_partition(spark: SparkSession, df: DataFrame, table: str,
                       date: str | dt.date, hour: int | str) -> int:
     """Idempotently replace one ``(date, hour)`` partition of ``table`` with ``df``'s rows;
@@ -95,7 +125,7 @@ def replace_partition(spark: SparkSession, df: DataFrame, table: str,
     seen = Observation(unique_name("replace_rows"))
     rows = (_by_name(df.where(partition_predicate(day, h)), cols)
             .observe(seen, F.count(F.lit(1)).alias("rows")))
-    with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with dynamic_partition_write(spark, "dynamic"):
         rows.write.insertInto(table, overwrite=True)
     written = int(seen.get["rows"])
     if written == 0:
@@ -120,21 +150,8 @@ def append(spark: SparkSession, df: DataFrame, table: str, rebalance: bool = Tru
     """Append to an existing table; on a partitioned table partitions are dynamic."""
     cols = _table_columns(spark, table)
     parts = [c for c in PARTITION_COLUMNS if c in cols] if rebalance else []
-    _by_name(_rebalanced(df, parts), cols).write.insertInto(table)
-
-
-@contextlib.contextmanager
-def session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """Set a session setting for the duration of one write, then restore it."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+    with dynamic_partition_write(spark):
+        _by_name(_rebalanced(df, parts), cols).write.insertInto(table)
 
 
 def overwrite_rows(spark: SparkSession, df: DataFrame, table: str,
@@ -150,7 +167,7 @@ def overwrite_rows(spark: SparkSession, df: DataFrame, table: str,
     cols = _table_columns(spark, table)
     parts = [c for c in PARTITION_COLUMNS if c in cols] if rebalance else []
     rows = _by_name(_rebalanced(df, parts), cols)
-    with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", partition_mode):
+    with dynamic_partition_write(spark, partition_mode):
         rows.write.insertInto(table, overwrite=True)
 
 

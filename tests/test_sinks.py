@@ -162,3 +162,13 @@ def test_save_table_compression_and_partitions(spark):
         .load(path).select("path").collect()
     assert any(".gz" in r[0] for r in files)
     assert spark.table(name).count() == _cooked(spark).count()
+
+
+def test_write_settings_are_scoped(spark):
+    keys = ("hive.exec.dynamic.partition.mode", "spark.sql.sources.partitionOverwriteMode")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    name = _table(spark)
+    W.append(spark, _cooked(spark), name)
+    W.overwrite_rows(spark, _cooked(spark), name, partition_mode="static")
+    W.replace_partition(spark, _cooked(spark), name, D1, H1)
+    assert {k: spark.conf.get(k, None) for k in keys} == before
