@@ -173,9 +173,14 @@ def overwrite_rows(spark: SparkSession, df: DataFrame, table: str,
 
 def save_table(df: DataFrame, name: str, fmt: str | None = None,
                partition_by: Sequence[str] = (), compression: str | None = None,
-               path: str | None = None, mode: str = "overwrite") -> None:
-    """Create or replace a table from ``df`` (``saveAsTable``); external when ``path`` is set."""
-    writer = _rebalanced(df, partition_by).write.mode(mode)
+               path: str | None = None, mode: str = "overwrite", rebalance: bool = True) -> None:
+    """Create or replace a table from ``df`` (``saveAsTable``); external when ``path`` is set.
+
+    A partitioned write is rebalanced on its partition columns by default (one shuffle, bounded
+    files per partition whatever the input order); input already clustered by time can pass
+    ``rebalance=False`` and be written without a shuffle.
+    """
+    writer = _rebalanced(df, partition_by if rebalance else ()).write.mode(mode)
     if fmt:
         writer = writer.format(fmt)
     for key, value in format_options(fmt or "", compression).items():
@@ -188,9 +193,10 @@ def save_table(df: DataFrame, name: str, fmt: str | None = None,
 
 
 def write_csv_files(df: DataFrame, path: str, partition_by: Sequence[str] = PARTITION_COLUMNS,
-                    mode: str = "overwrite") -> None:
+                    mode: str = "overwrite", rebalance: bool = True) -> None:
     """Headerless CSV files; partition values live in folder names, not inside the files."""
-    writer = _rebalanced(df, partition_by).write.mode(mode).options(**CSV_OPTIONS)
+    writer = (_rebalanced(df, partition_by if rebalance else ()).write.mode(mode)
+              .options(**CSV_OPTIONS))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)

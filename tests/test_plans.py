@@ -134,3 +134,17 @@ def test_join_inner_alias_beyond_budget_equals_broadcast(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     both = join_inner_alias(dim, dim)
     assert "l_meta_pat_id" in both.columns and "r_meta_pat_id" in both.columns
+
+
+def test_partitioned_write_rebalance_is_optional(spark):
+    from sigscore.sinks import tables as W
+    cooked = cook_signals(X.raw_signals(spark, SF_SMALL), X.subtype_dim(spark))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan_text(W._rebalanced(cooked, PARTITION_COLUMNS),
+                                                      "simple")
+    a, b = unique_name("t_reb"), unique_name("t_noreb")
+    W.save_table(cooked, a, fmt="parquet", partition_by=PARTITION_COLUMNS,
+                 path=scratch_path(spark, a))
+    W.save_table(cooked, b, fmt="parquet", partition_by=PARTITION_COLUMNS,
+                 path=scratch_path(spark, b), rebalance=False)
+    ta, tb = spark.table(a), spark.table(b)
+    assert ta.exceptAll(tb).count() == 0 and tb.exceptAll(ta).count() == 0
