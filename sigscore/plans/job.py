@@ -91,7 +91,9 @@ def cook_hour(spark: SparkSession, cfg: JobConfig, date: str | dt.date,
 
 def run_hour(spark: SparkSession, cfg: JobConfig, date: str | dt.date, hour: int | str,
              signal_type: str | None = "NA") -> DataFrame:
-    """Run the job for one hour: one write action replacing exactly that partition.
+    """Run the job for one hour: one write replacing exactly that partition (swapped at
+    commit), after one bounded size measurement of the dimension; an hour without rows is
+    emptied instead.
 
     Returns the target partition as a lazy frame. ``signal_type`` is validated (not blank)
     and otherwise unused, as in the original job's interface.
