@@ -8,6 +8,7 @@ oracle (``sigscore.registry``).
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 from sigscore.schemas import SUBTYPE_DIM_SCHEMA
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str | os.PathLike, name: str) -> DataFrame:
+    return spark.read.parquet(f"{os.fspath(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def _subtype_of(event_type: Column) -> Column:
