@@ -47,10 +47,13 @@ def format_options(fmt: str, compression: str | None = None,
 def create_table(spark: SparkSession, name: str, schema: T.StructType, fmt: str = "parquet",
                  partition_by: Sequence[str] = PARTITION_COLUMNS, location: str | None = None,
                  compression: str | None = None,
-                 csv_options: dict[str, str] | None = None) -> str:
-    """``CREATE TABLE … USING fmt [PARTITIONED BY] [LOCATION]`` (a datasource table)."""
+                 csv_options: dict[str, str] | None = None,
+                 if_not_exists: bool = False) -> str:
+    """``CREATE TABLE [IF NOT EXISTS] … USING fmt [PARTITIONED BY] [LOCATION]`` (a datasource
+    table; external when ``location`` is given)."""
     opts = format_options(fmt, compression, csv_options)
-    sql = f"CREATE TABLE {_quote(name)} ({ddl(schema)}) USING {fmt}"
+    exists = "IF NOT EXISTS " if if_not_exists else ""
+    sql = f"CREATE TABLE {exists}{_quote(name)} ({ddl(schema)}) USING {fmt}"
     if opts:
         sql += " OPTIONS (" + ", ".join(f"{_literal(k)} {_literal(v)}"
                                         for k, v in opts.items()) + ")"

@@ -22,10 +22,12 @@ def scan_csv_strings(spark: SparkSession, path: str,
 
 
 def create_csv_table(spark: SparkSession, name: str, schema: T.StructType, location: str,
-                     sep: str = ",") -> str:
-    """External headerless CSV table over a folder (``CREATE TABLE … USING csv LOCATION``)."""
+                     sep: str = ",", if_not_exists: bool = True) -> str:
+    """External headerless CSV table over a folder (``CREATE TABLE IF NOT EXISTS … USING csv
+    LOCATION``)."""
     from sigscore.sinks.tables import create_table
-    create_table(spark, name, schema, "csv", (), location, csv_options={"sep": sep})
+    create_table(spark, name, schema, "csv", (), location, csv_options={"sep": sep},
+                 if_not_exists=if_not_exists)
     return name
 
 

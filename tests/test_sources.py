@@ -69,3 +69,16 @@ def test_describe_schema(spark):
     rows = describe_schema(spark, df).collect()
     assert [(r.column_name, r.data_type) for r in rows] == [("x1", "int"), ("x2", "int"),
                                                             ("x3", "int")]
+
+
+def test_csv_table_if_not_exists(spark):
+    from sigscore.session import unique_name
+    from sigscore.sources import create_csv_table
+    path = scratch_path(spark, "csv_table")
+    frame_from_rows(spark, LOCAL_SAMPLE, SIMPLE_SCHEMA).write.csv(path)
+    name = unique_name("t_csv")
+    create_csv_table(spark, name, SIMPLE_SCHEMA, path)
+    create_csv_table(spark, name, SIMPLE_SCHEMA, path)  # second call is a no-op
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == sorted(LOCAL_SAMPLE)
+    with pytest.raises(Exception):
+        create_csv_table(spark, name, SIMPLE_SCHEMA, path, if_not_exists=False)
