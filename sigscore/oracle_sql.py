@@ -1,20 +1,18 @@
 """DuckDB SQL for the fixture views and the score curves (the independent oracle).
 
-The same derivations as ``sources.fixtures`` and ``functions.curves``, written as SQL over the
-driver's tables. Double constants are spelt as ``CAST('…' AS DOUBLE)``: a bare decimal
-literal is DECIMAL in DuckDB.
+The same derivations as ``sources.fixtures``, written as DuckDB SQL over the driver's tables;
+the curves come as portable SQL text from ``functions.sql`` (the registered Spark queries use the
+Column functions, so the two sides stay independent). Double constants are spelt as
+``CAST('…' AS DOUBLE)``: a bare decimal literal is DECIMAL in DuckDB.
 """
 
 from __future__ import annotations
 
-from sigscore.functions import curves as C
+from sigscore.functions.sql import (DEFAULT_CURVES_SQL, d, hfc_sql,  # noqa: F401
+                                    score_sql, speedtest_sql)
 from sigscore.sources.fixtures import SUBTYPE_DIM_ROWS
 
 
-def d(value: float) -> str:
-    return f"CAST('{float(value)!r}' AS DOUBLE)"
-
-
 RAW_SQL = f"""
 SELECT user_id AS party_id,
        event_id % 97 AS building_port_id,
@@ -53,32 +51,6 @@ SELECT CAST(x1 AS VARCHAR) AS x1, CAST(x2 AS VARCHAR) AS x2, CAST(x3 AS VARCHAR)
 FROM ({SIMPLE_SQL}) s"""
 
 
-def speedtest_sql(x: str) -> str:
-    return (f"(CASE WHEN {x} > {d(C.SPEEDTEST_ZERO)} "
-            f"THEN {d(C.SPEEDTEST_K_POS)} * atan({d(C.SPEEDTEST_SLOPE_POS)} * ({x} - "
-            f"{d(C.SPEEDTEST_ZERO)})) "
-            f"ELSE {d(C.SPEEDTEST_K_NEG)} * atan({d(-C.SPEEDTEST_SLOPE_NEG)} * "
-            f"({d(C.SPEEDTEST_ZERO)} - {x})) END + {d(0.0)})")
-
-
-def hfc_sql(x: str) -> str:
-    return (f"({d(C.HFC_SPAN)} * exp({d(-C.HFC_SLOPE)} * {x}) - {d(C.HFC_SPAN)} "
-            f"+ {d(C.HFC_TOP)})")
-
-
-DEFAULT_CURVES_SQL = {C.SUBTYPE_SPEEDTEST: speedtest_sql, C.SUBTYPE_HFC: hfc_sql}
-
-
-def score_sql(tv: str = "technical_value", cr: str = "cust_relevance",
-              st: str = "meta_past_id", curves=None, default: float = C.DEFAULT_SCORE) -> str:
-    x = f"({tv} * {cr})"
-    parts = [f"CASE WHEN {tv} IS NULL OR {cr} IS NULL OR {st} IS NULL THEN CAST(NULL AS DOUBLE)"]
-    for code, curve in (curves or DEFAULT_CURVES_SQL).items():
-        parts.append(f"WHEN {st} = {int(code)} THEN {curve(x)}")
-    parts.append(f"ELSE {d(default)} END")
-    return " ".join(parts)
-
-
 CTES = (f"WITH raw_signals AS ({RAW_SQL}),\n subtype_dim AS ({DIM_SQL}),\n"
         f" simple_signals AS ({SIMPLE_SQL}),\n simple_strings AS ({SIMPLE_STRING_SQL}),\n"
         f" scored AS (SELECT *, {score_sql()} AS score FROM raw_signals),\n"
