@@ -110,12 +110,14 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: st
     Each hot key gets ``ceil(rows / rows_per_task)`` salt values: its fact rows take one of
     them from a hash of the whole row (deterministic, so a recomputed task routes rows the
     same way) and its dimension rows are copied once per salt. Cold keys keep salt 0 and one
-    copy. The join on ``(key, salt)`` is a single shuffle; every fact row still meets every
-    matching dimension row, so the result equals the plain join.
+    copy. The join on ``(key, salt)`` is a single shuffle into ``join_partitions`` partitions,
+    sized from the data; every fact row still meets every matching dimension row, so the
+    result equals the plain join.
     """
     salts = hot_key_salts(fact, fact_key, rows_per_task, max_hot_keys)
     if salts is None:
         return fact.join(dim, fact[fact_key] == dim[dim_key], "left")
+    parts = join_partitions(fact, rows_per_task)
     salts = F.broadcast(salts)
     n_salts = F.coalesce(F.col("_n_salts"), F.lit(1).cast("bigint"))
     fact_cols = fact.columns
@@ -128,11 +130,26 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: st
                   .select(*[F.col(c) for c in dim_cols],
                           F.explode(F.sequence(F.lit(0).cast("bigint"), n_salts - 1))
                           .alias("_dim_salt")))
+    # Both sides hash-partitioned alike on (key, salt): the join adds no further exchange.
+    salted_fact = salted_fact.repartition(parts, fact_key, "_salt")
+    salted_dim = salted_dim.repartition(parts, dim_key, "_dim_salt")
     cond = ((salted_fact[fact_key] == salted_dim[dim_key])
             & (salted_fact["_salt"] == salted_dim["_dim_salt"]))
     return salted_fact.join(salted_dim, cond, "left").drop("_salt", "_dim_salt")
 
 
+def join_partitions(fact: DataFrame, rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> int:
+    """Shuffle partitions for a join of ``fact``: about ``rows_per_task / 2`` rows each
+    (room for hash collisions of the salt buckets), never fewer than the session's setting.
+
+    ``count()`` reads no column data on Parquet (row-group metadata), so sizing from the data
+    is cheap; the join then holds at any scale whatever the session was configured with.
+    """
+    rows = fact.count()
+    configured = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(configured, 2 * int(math.ceil(rows / rows_per_task)), 1)
+
+
 def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                 how: str = "left", broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
                 rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
