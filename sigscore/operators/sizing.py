@@ -115,9 +115,10 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: st
     result equals the plain join.
     """
     salts = hot_key_salts(fact, fact_key, rows_per_task, max_hot_keys)
-    if salts is None:
-        return fact.join(dim, fact[fact_key] == dim[dim_key], "left")
     parts = join_partitions(fact, rows_per_task)
+    if salts is None:  # no key is hot: a plain shuffle join, sized the same way
+        f, d = fact.repartition(parts, fact_key), dim.repartition(parts, dim_key)
+        return f.join(d, f[fact_key] == d[dim_key], "left")
     salts = F.broadcast(salts)
     n_salts = F.coalesce(F.col("_n_salts"), F.lit(1).cast("bigint"))
     fact_cols = fact.columns
