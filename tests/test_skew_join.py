@@ -29,3 +29,11 @@ def test_salted_equals_plain(spark, fact_keys, hot, hot_share, dim, rows_per_tas
                         rows_per_task=rows_per_task)
     assert _rows(inner.select("id", "k", "dk", "v")) == _rows(
         fact.join(d, fact["k"] == d["dk"], "inner").select("id", "k", "dk", "v"))
+
+
+def test_join_partitions_sized_from_data(spark):
+    from sigscore.operators.sizing import join_partitions
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fact = spark.range(1000)
+    assert join_partitions(fact, rows_per_task=10) == max(configured, 200)
+    assert join_partitions(fact, rows_per_task=10_000) == configured
