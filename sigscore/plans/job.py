@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import logging
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 
@@ -24,6 +25,8 @@ from sigscore.sources.tables import parse_partition, scan_partition
 SourceReader = Callable[[SparkSession, dt.date, int], DataFrame]
 DimensionSource = Mapping[str, str] | str | DataFrame | Callable[[SparkSession], DataFrame]
 
+LOG = logging.getLogger("sigscore.job")
+
 # Characters a JVM String.trim removes: everything up to U+0020.
 _BLANKS = "".join(chr(c) for c in range(0x21))
 
@@ -102,7 +105,8 @@ def run_hour(spark: SparkSession, cfg: JobConfig, date: str | dt.date, hour: int
         if is_blank_arg(value):
             raise ValueError(f"argument {name} is blank")
     day, h = parse_partition(date, hour)
-    replace_partition(spark, cook_hour(spark, cfg, day, h), cfg.target_table, day, h)
+    written = replace_partition(spark, cook_hour(spark, cfg, day, h), cfg.target_table, day, h)
+    LOG.info("replaced %s date=%s hour=%d with %d rows", cfg.target_table, day, h, written)
     return scan_partition(spark, cfg.target_table, day, h)
 
 
@@ -116,6 +120,8 @@ def main(argv: list[str] | None = None) -> int:
     dim.add_argument("--dimension-table")
     dim.add_argument("--dimension-jdbc-json", help="file with JDBC reader options")
     parser.add_argument("--key-side", choices=("fact", "dim"), default="fact")
+    parser.add_argument("--explain", action="store_true",
+                        help="print the physical plan of the hour's rows and write nothing")
     args = parser.parse_args(argv)
     if args.dimension_table:
         dimension: DimensionSource = args.dimension_table
@@ -125,6 +131,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("sigscore-hourly").getOrCreate()
     apply_cluster_defaults(spark)
     cfg = replace(config_for(args.environment, dimension), key_side=args.key_side)
+    if args.explain:
+        from sigscore.plans.inspect import plan_text
+        print(plan_text(cook_hour(spark, cfg, args.date, args.hour)))
+        return 0
+    logging.basicConfig(level=logging.INFO)
     run_hour(spark, cfg, args.date, args.hour, args.signal_type)
     return 0
 

@@ -114,6 +114,14 @@ def test_cli_main_end_to_end(spark):
     dim = unique_name("t_cli_dim")
     W.save_table(X.subtype_dim(spark), dim, fmt="parquet", path=scratch_path(spark, dim))
     try:
+        import contextlib
+        import io
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            assert main(["2024-01-03", "07", "na", "NA", "--dimension-table", dim,
+                         "--explain"]) == 0
+        assert "BroadcastHashJoin" in out.getvalue() and "PartitionFilters" in out.getvalue()
+        assert spark.table("scored_signals").count() == 0  # explain writes nothing
         assert main(["2024-01-03", "07", " local ", "NA", "--dimension-table", dim]) == 0
         got = spark.table("scored_signals")
         raw_rows = X.raw_signals(spark, SF_SMALL, "2024-01-03", 7)
