@@ -19,6 +19,7 @@ def d(value: float) -> str:
 
 
 def speedtest_sql(x: str) -> str:
+    """The speed-test curve of the SQL expression ``x`` as SQL text."""
     return (f"(CASE WHEN {x} > {d(C.SPEEDTEST_ZERO)} "
             f"THEN {d(C.SPEEDTEST_K_POS)} * atan({d(C.SPEEDTEST_SLOPE_POS)} * ({x} - "
             f"{d(C.SPEEDTEST_ZERO)})) "
@@ -27,6 +28,7 @@ def speedtest_sql(x: str) -> str:
 
 
 def hfc_sql(x: str) -> str:
+    """The HFC curve of the SQL expression ``x`` as SQL text."""
     return (f"({d(C.HFC_SPAN)} * exp({d(-C.HFC_SLOPE)} * {x}) - {d(C.HFC_SPAN)} "
             f"+ {d(C.HFC_TOP)})")
 
@@ -36,6 +38,7 @@ DEFAULT_CURVES_SQL = {C.SUBTYPE_SPEEDTEST: speedtest_sql, C.SUBTYPE_HFC: hfc_sql
 
 def score_sql(tv: str = "technical_value", cr: str = "cust_relevance",
               st: str = "meta_past_id", curves=None, default: float = C.DEFAULT_SCORE) -> str:
+    """The subtype-dispatched score (NULL guard, curves, default) as SQL text."""
     x = f"({tv} * {cr})"
     parts = [f"CASE WHEN {tv} IS NULL OR {cr} IS NULL OR {st} IS NULL THEN CAST(NULL AS DOUBLE)"]
     for code, curve in (curves or DEFAULT_CURVES_SQL).items():

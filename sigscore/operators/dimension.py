@@ -12,10 +12,12 @@ from sigscore.schemas import DIM_COLUMNS, DIM_COLUMNS_WIDE
 
 
 def dim_columns(dim: DataFrame) -> DataFrame:
+    """The four dimension columns the job uses."""
     return dim.select(*DIM_COLUMNS)
 
 
 def dim_columns_wide(dim: DataFrame) -> DataFrame:
+    """The five dimension columns, ``meta_pat_id`` included."""
     return dim.select(*DIM_COLUMNS_WIDE)
 
 

@@ -16,10 +16,12 @@ def select_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def select_score_inputs(df: DataFrame) -> DataFrame:
+    """The three score inputs: subtype, technical value, customer relevance."""
     return df.select(*SCORE_INPUTS)
 
 
 def select_two(df: DataFrame, first: str = "x1", second: str = "x2") -> DataFrame:
+    """Two columns by name, in that order."""
     return df.select(first, second)
 
 
@@ -30,6 +32,7 @@ def add_null_column(df: DataFrame, name: str = "newCol", data_type: str = "int")
 
 def add_product_column(df: DataFrame, name: str = "newCol", left: str = "x1",
                        right: str = "x2") -> DataFrame:
+    """``name`` = ``left * right``."""
     return df.withColumn(name, F.col(left) * F.col(right))
 
 

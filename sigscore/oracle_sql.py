@@ -70,4 +70,5 @@ def cook_sql(key: str = "s.meta_past_id", where: str = "") -> str:
 
 
 def with_ctes(select: str) -> str:
+    """A SELECT over the fixture views, with their definitions as CTEs."""
     return CTES + select

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
+    """The text ``df.explain(mode)`` prints."""
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain(mode)

@@ -32,10 +32,12 @@ _BLANKS = "".join(chr(c) for c in range(0x21))
 
 
 def is_blank_arg(value: str | None) -> bool:
+    """True for None or text made only of characters up to U+0020."""
     return value is None or value.strip(_BLANKS) == ""
 
 
 def normalise_arg(value: str) -> str:
+    """Strip characters up to U+0020 at both ends, then upper-case."""
     return value.strip(_BLANKS).upper()
 
 
@@ -111,6 +113,7 @@ def run_hour(spark: SparkSession, cfg: JobConfig, date: str | dt.date, hour: int
 
 
 def main(argv: list[str] | None = None) -> int:
+    """Command-line entry point of the hourly job."""
     parser = argparse.ArgumentParser(description="Score one hourly partition of raw signals.")
     parser.add_argument("date")
     parser.add_argument("hour")

@@ -54,6 +54,7 @@ def _context(spark: SparkSession):
 
 
 def default_parallelism(spark: SparkSession) -> int:
+    """The session's default task parallelism."""
     context = _context(spark)
     if context is not None:
         return context.defaultParallelism
@@ -66,6 +67,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def unique_name(prefix: str) -> str:
+    """A table or view name that no other call returns."""
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
 
 

@@ -38,6 +38,7 @@ def _literal(text: str) -> str:
 
 def format_options(fmt: str, compression: str | None = None,
                    csv_options: dict[str, str] | None = None) -> dict[str, str]:
+    """Writer / table options of a format (CSV timestamp patterns, compression)."""
     opts = {**CSV_OPTIONS, **(csv_options or {})} if fmt == "csv" else {}
     if compression:
         opts["compression"] = compression

@@ -17,6 +17,7 @@ from sigscore.schemas import SUBTYPE_DIM_SCHEMA
 
 
 def table(spark: SparkSession, sf_dir: str | os.PathLike, name: str) -> DataFrame:
+    """One of the driver's tables, read from its Parquet file."""
     return spark.read.parquet(f"{os.fspath(sf_dir).rstrip('/')}/{name}.parquet")
 
 
@@ -27,6 +28,7 @@ def _subtype_of(event_type: Column) -> Column:
 
 
 def hour_bounds(date: str | dt.date, hour: int) -> tuple[dt.datetime, dt.datetime]:
+    """Start (inclusive) and end (exclusive) of an hour as naive datetimes."""
     day = date if isinstance(date, dt.date) else dt.date.fromisoformat(str(date))
     start = dt.datetime.combine(day, dt.time(int(hour)))
     return start, start + dt.timedelta(hours=1)

@@ -26,6 +26,7 @@ def parse_partition(date: str | dt.date, hour: int | str) -> tuple[dt.date, int]
 
 
 def partition_predicate(date: str | dt.date, hour: int | str):
+    """The ``date = … AND hour = …`` predicate of one partition."""
     day, h = parse_partition(date, hour)
     return (F.col("date") == F.lit(day)) & (F.col("hour") == F.lit(h))
 
