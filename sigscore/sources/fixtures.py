@@ -1,8 +1,8 @@
 """Views over the driver's read-only tables in the shapes the job expects.
 
 ``raw_signals`` is derived from ``events``, ``simple_signals`` from ``lineitem``; the subtype
-dimension is a handful of versioned rows. The same derivations are written in SQL for the
-oracle (``sigscore.registry``).
+dimension is a handful of versioned rows. The same derivations are written in DuckDB SQL for
+the oracle (``sigscore.oracle_sql``).
 """
 
 from __future__ import annotations
