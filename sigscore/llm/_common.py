@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 import numpy as np
@@ -48,12 +49,29 @@ def crc_bucket(doc_id: Column, m: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(m))
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffle_files_dropped(spark: SparkSession):
+    """Shuffle files of the writes inside go when a write is done: what was written is read from
+    the shared folder from then on, so they would only fill the executors' disks."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: a cut of the lineage that survives lost
-    executors, with column statistics known to the planner."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    executors, with a size that the planner knows."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with _shuffle_files_dropped(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fresh(prefix: str) -> str:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from sigscore.llm import mixing, packing, quality_rules, url_filter
+from sigscore.llm import mixing, near_dedup, packing, quality_rules, url_filter
 
 QUERIES = {
+    "op1_near_dedup": near_dedup.op1,
     "op2_quality_rules": quality_rules.op2,
     "op4_mixing": mixing.op4,
     "op9_url_filter": url_filter.op9,
