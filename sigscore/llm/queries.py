@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from sigscore.llm import mixing, near_dedup, packing, quality_rules, url_filter
+from sigscore.llm import (language_id, mixing, near_dedup, packing, quality_classifier,
+                          quality_rules, toxicity, url_filter)
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1,
     "op2_quality_rules": quality_rules.op2,
+    "op3_toxicity": toxicity.op3,
     "op4_mixing": mixing.op4,
+    "op6_quality_classifier": quality_classifier.op6,
+    "op8_language_id": language_id.op8,
     "op9_url_filter": url_filter.op9,
     "op10_packing": packing.op10,
 }
