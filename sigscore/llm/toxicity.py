@@ -1,6 +1,6 @@
 """Toxicity by multiple-instance learning: sentences are the instances, documents the bags.
 
-A sentence's logit is a bias plus the weights of its distinct words. A document is toxic if any
+A sentence's logit is a bias plus the weights of its distinct words and word beginnings. A document is toxic if any
 sentence is: 1 - prod(1 - p) over its sentences (noisy-or). Weights are learned from document
 labels alone, by gradient steps on the noisy-or likelihood with an L1 pull to zero, on a bounded
 sample. Scoring reads whole texts and also tells which sentence is the worst, and where.
@@ -22,6 +22,8 @@ from sigscore.llm._learning import labelled_sample
 FOLDS, HELD_OUT_FOLD = 5, 0
 DOCS_PER_CLASS = 2_000   # bound of the labelled sample
 MIN_DOCS_WITH_WORD = 3   # of the sample
+BEGINNINGS = (4, 5)
+CACHE = 200_000          # remembered words per worker
 STEPS, RATE, PULL = 150, 0.15, 2e-4
 START_BIAS = -6.0
 THRESHOLD = 0.5
@@ -31,6 +33,11 @@ _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def features_of(word: str) -> set[str]:
+    """A word and its beginnings, which inflected forms share."""
+    return {word, *("^" + word[:n] for n in BEGINNINGS if len(word) >= n)}
+
+
 def sentence_spans(text: str):
     """(start, end) of the sentences: runs up to a stop or a line end."""
     return (m.span() for m in _SENTENCE.finditer(text))
@@ -41,17 +48,28 @@ class Model:
 
     def __init__(self, weights: dict[str, float] | None = None, bias: float = START_BIAS):
         self.weights, self.bias = weights or {}, bias
+        self.seen: dict[str, frozenset] = {}
+
+    def _known(self, word: str) -> frozenset:
+        """The features of a word that carry a weight."""
+        if len(self.seen) >= CACHE:
+            self.seen.clear()
+        self.seen[word] = found = frozenset(f for f in features_of(word) if f in self.weights)
+        return found
 
     def score(self, text: str):
         """(document score, start and end of the worst sentence, its score)."""
         total, worst, where = 0.0, -np.inf, (None, None)
-        quiet, weights = 0, self.weights
+        quiet, seen = 0, self.seen
         for start, end in sentence_spans(text):
-            hit = {w for w in _WORD.findall(text[start:end].lower()) if w in weights}
+            hit = set()
+            for w in _WORD.findall(text[start:end].lower()):
+                found = seen.get(w)
+                hit |= self._known(w) if found is None else found
             if not hit:
                 quiet += 1
                 continue
-            z = self.bias + sum(weights[w] for w in sorted(hit))
+            z = self.bias + sum(self.weights[w] for w in sorted(hit))
             total += np.logaddexp(0.0, z)
             if z > worst:
                 worst, where = z, (start, end)
@@ -63,17 +81,20 @@ class Model:
 
 def fit(rows) -> Model:
     """Learns a model from (y, text) rows."""
-    bags = [[set(_WORD.findall(text[a:b].lower())) for a, b in sentence_spans(text or "")]
-            for _, text in rows]
+    def bag(text):
+        return [set().union(*map(features_of, _WORD.findall(text[a:b].lower())))
+                for a, b in sentence_spans(text)]
+
+    bags = [bag(text or "") for _, text in rows]
     y = np.array([r[0] for r in rows], float)
     if not len(y) or y.min() == y.max():
         return Model()
-    seen = Counter(w for bag in bags for w in set().union(*bag))
+    seen = Counter(w for b in bags for w in set().union(*b))
     vocabulary = sorted(w for w, n in seen.items() if n >= MIN_DOCS_WITH_WORD)
     number = {w: i for i, w in enumerate(vocabulary)}
     word, sentence, bag_of = [], [], []
-    for d, bag in enumerate(bags):
-        for words in bag:
+    for d, sentences in enumerate(bags):
+        for words in sentences:
             known = [number[w] for w in words if w in number]
             word += known
             sentence += [len(bag_of)] * len(known)
