@@ -1,12 +1,54 @@
-"""The corpus pipeline: documents go through STAGES, each written and read again."""
+"""The corpus pipeline: documents go through STAGES, each written and read again.
+
+Each stage takes all that its predecessor kept. All but the last return the columns of the
+documents they are given, extra ones included; the last returns pieces with their places in
+sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sigscore.llm._common import materialise, table
 from sigscore.llm.mixing import mix_documents
+from sigscore.llm.near_dedup import near_duplicates
 from sigscore.llm.packing import pack_documents
+from sigscore.llm.substring_dedup import remove_repeats
+from sigscore.llm.toxicity import THRESHOLD, score_documents, train
+
+# Word shingles of near-duplicate stages, and their least similarity in percent.
+NEAR_SHINGLE_WORDS, NEAR_PERCENT = 5, 80
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that score as toxic. The model learns from ``labels`` and these documents."""
+    model = train(docs, table(spark, sf_dir, "labels"))
+    row = docs.select(F.struct("*").alias("row"), "text")
+    kept = score_documents(row, model).where(F.col("toxicity.score") < THRESHOLD)
+    return kept.select("row.*")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near duplicates, the one with the smallest id. Rows
+    that share the id stay if their texts differ; equal ones are one. Rows without an id stay."""
+    found = near_duplicates(docs, NEAR_SHINGLE_WORDS, NEAR_PERCENT)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    row = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
+    kept = row.join(gone, F.col("id") == F.col("gone"), "left_anti")
+    named = kept.where(F.col("id").isNotNull()).withColumn("text", F.col("row.text"))
+    once = named.dropDuplicates(["id", "text"]).select("row.*")
+    return once.unionByName(kept.where(F.col("id").isNull()).select("row.*"))
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages that also stand in a document with a smaller id. A document of which
+    nothing is left goes; documents that were empty before stay."""
+    row = docs.select(F.struct("*").alias("before"), "doc_id", "text")
+    cut = remove_repeats(row)
+    emptied = (F.trim(F.col("text")) == "") & (F.coalesce(F.trim("before.text"), F.lit("")) != "")
+    return cut.where(~F.coalesce(emptied, F.lit(False))).select(
+        F.col("before").withField("text", F.col("text")).alias("row")).select("row.*")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +61,9 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs)
 
 
-STAGES = [("mixing", mixing), ("packing", packing)]
-ORACLE_SQL = None  # scores and token ids are beyond SQL
+STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("substring_dedup", substring_dedup),
+          ("mixing", mixing), ("packing", packing)]
+ORACLE_SQL = None  # learned scores and token ids are beyond SQL; tests use brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

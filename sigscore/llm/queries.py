@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from sigscore.llm import (language_id, mixing, near_dedup, packing, quality_classifier,
-                          quality_rules, toxicity, url_filter)
+from sigscore.llm import (language_id, mixing, near_dedup, neighbours, packing,
+                          quality_classifier, quality_rules, substring_dedup, toxicity, url_filter)
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1,
     "op2_quality_rules": quality_rules.op2,
     "op3_toxicity": toxicity.op3,
     "op4_mixing": mixing.op4,
+    "op5_substring_dedup": substring_dedup.op5,
     "op6_quality_classifier": quality_classifier.op6,
+    "op7_neighbours": neighbours.op7,
     "op8_language_id": language_id.op8,
     "op9_url_filter": url_filter.op9,
     "op10_packing": packing.op10,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {"op5_substring_dedup": substring_dedup.OP5_SQL}
 
 
 def queries() -> dict:
