@@ -15,6 +15,7 @@ run-length coded document ids.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,17 @@ RESULT = ("doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string,
           "paths array<struct<start:int,length:int,source:bigint,checks:binary>>")
 
 
+def _by_document(h: np.ndarray, d: np.ndarray, source: np.ndarray):
+    """(document, its edges, their sources) of equally long arrays."""
+    if not len(d):
+        return
+    order = np.argsort(d, kind="stable")
+    h, d, source = h[order], d[order], source[order]
+    cuts = np.flatnonzero(d[1:] != d[:-1]) + 1
+    for lo, hi in zip([0, *cuts], [*cuts, len(d)]):
+        yield int(d[lo]), h[lo:hi], source[lo:hi]
+
+
 def _edges(docs: DataFrame, parts: int, window: int) -> DataFrame:
     """Packed edges. Rows with null ``doc_id`` hold, for one part of the hash space, edges and
     the smallest document of the task that has each. Rows with a ``doc_id`` say that the edges
@@ -51,10 +63,8 @@ def _edges(docs: DataFrame, parts: int, window: int) -> DataFrame:
             first = np.concatenate(([True], h[1:] != h[:-1]))
             source = d[np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))]
             again = d > source
-            out = [(int(h[lo] % np.uint64(parts)), int(d[lo]), *marks)
-                   for lo, marks in _by_document(h[again], d[again], source[again])] \
-                if again.any() else []
-            rows = [(p, x, a.tobytes(), b.tobytes(), None) for p, x, a, b in out]
+            rows = [(int(a[0] % np.uint64(parts)), x, a.tobytes(), b.tobytes(), None)
+                    for x, a, b in _by_document(h[again], d[again], source[again])]
             h, d = h[first], d[first]
             part = (h % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((d, part))
@@ -71,13 +81,6 @@ def _edges(docs: DataFrame, parts: int, window: int) -> DataFrame:
                     pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
                 names=["part", "doc_id", "hashes", "docs", "counts"])
 
-        def _by_document(h, d, source):
-            order = np.argsort(d, kind="stable")
-            h, d, source = h[order], d[order], source[order]
-            cuts = np.flatnonzero(d[1:] != d[:-1]) + 1
-            for lo, hi in zip([0, *cuts], [*cuts, len(d)]):
-                yield lo, (h[lo:hi], source[lo:hi])
-
         n = 0
         for batch in batches:
             who = batch.column(0).to_pylist()
@@ -125,17 +128,12 @@ def _marks(edges: DataFrame, parts: int) -> DataFrame:
         first = np.concatenate(([True], h[1:] != h[:-1]))
         source = d[np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))]
         again = d > source
-        h, d, source = h[again], d[again], source[again]
-        order = np.argsort(d, kind="stable")
-        h, d, source = h[order], d[order], source[order]
-        cuts = np.flatnonzero(d[1:] != d[:-1]) + 1
-        cuts = [0, *cuts, len(d)] if len(d) else [0]
-        for at in range(0, len(cuts) - 1, 10_000):
-            some = list(zip(cuts[at:at + 10_000], cuts[at + 1:at + 10_001]))
+        found = _by_document(h[again], d[again], source[again])
+        while some := list(itertools.islice(found, 10_000)):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([d[lo] for lo, _ in some], pa.int64()),
-                 pa.array([h[lo:hi].tobytes() for lo, hi in some], pa.binary()),
-                 pa.array([source[lo:hi].tobytes() for lo, hi in some], pa.binary())],
+                [pa.array([x for x, _, _ in some], pa.int64()),
+                 pa.array([a.tobytes() for _, a, _ in some], pa.binary()),
+                 pa.array([b.tobytes() for _, _, b in some], pa.binary())],
                 names=["doc_id", "hashes", "sources"])
 
     # one part may share a partition with others; a hash is in one part, so in one partition
