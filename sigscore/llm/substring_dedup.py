@@ -2,7 +2,7 @@
 
 Every window of 13 words is an edge of the documents' de Bruijn graph (from its first 12 words to
 its last 12). Edges that lie in two documents or more are found by a shuffle of edge hashes,
-after each task has reduced its equal edges to the smallest document. Joined back to their
+after each task has reduced its equal edges to the smallest document. Brought back to their
 documents, consecutive repeated edges with one source (the smallest document that holds them)
 compact into paths: (document, start, length, source). A second join takes each distinct path to
 its source document, where a second, independent hash of each of its windows must be found; what
@@ -15,7 +15,6 @@ run-length coded document ids.
 from __future__ import annotations
 
 import hashlib
-import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +26,11 @@ from sigscore.llm._common import WordHashes, materialise, ngram_hashes, table, t
 WINDOW = 13
 EDGES_PER_TASK = 1 << 20     # a map task packs its edges whenever it holds so many
 BYTES_PER_PART = 12_000_000  # text whose edges one reducer holds, about two million
+BYTES_PER_BUCKET = 24_000_000  # text whose marks one task holds while its documents pass
 CHECK_SEED = 77              # of the second, independent hash
 
 EDGES = "part int, doc_id bigint, hashes binary, docs binary, counts binary"
-MARKS = "doc_id bigint, hashes binary, sources binary"
+MARKS = "bucket int, docs binary, hashes binary, sources binary"
 RESULT = ("doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, "
           "paths array<struct<start:int,length:int,source:bigint,checks:binary>>")
 
@@ -100,41 +100,58 @@ def _edges(docs: DataFrame, parts: int, window: int) -> DataFrame:
     return docs.mapInArrow(pack, EDGES)
 
 
-def _marks(edges: DataFrame, parts: int) -> DataFrame:
-    """Per document and part: its repeated edges that are not its own first, and for each the
-    smallest document of all that has it."""
+def _bucket_of(d: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each document id, the same as ``_bucket`` gives in Spark."""
+    x = d.astype(np.uint64)
+    return ((x ^ (x >> np.uint64(16))) % np.uint64(buckets)).astype(np.int32)
+
+
+def _bucket(doc_id, buckets: int):
+    mixed = doc_id.bitwiseXOR(F.shiftrightunsigned(doc_id, 16))
+    # the remainder of an unsigned division, from halves that stay positive
+    high, low = F.shiftrightunsigned(mixed, 32), mixed.bitwiseAND(F.lit(2**32 - 1))
+    return F.pmod(F.pmod(high, F.lit(buckets)) * F.lit(2**32 % buckets) + low,
+                  F.lit(buckets)).cast("int")
+
+
+def _marks(edges: DataFrame, parts: int, buckets: int) -> DataFrame:
+    """Repeated edges of documents that are not their first, each with a smaller document that
+    has it, packed in a row per part and bucket of documents."""
     def find(batches):
-        hashes, docs = [], []
+        h, d, source = [], [], []    # edges to judge
+        mh, md, ms = [], [], []      # marks that came along
         for batch in batches:
-            ids, h, d, n = (batch.column(i).to_pylist() for i in (1, 2, 3, 4))
-            own = [i for i, x in enumerate(ids) if x is None]
-            passed = [i for i, x in enumerate(ids) if x is not None]
-            hashes += [np.frombuffer(h[i], np.uint64) for i in own]
-            docs += [np.repeat(np.frombuffer(d[i], np.int64), np.frombuffer(n[i], np.int32))
-                     for i in own]
-            if passed:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[i] for i in passed], pa.int64()),
-                     pa.array([h[i] for i in passed], pa.binary()),
-                     pa.array([d[i] for i in passed], pa.binary())],
-                    names=["doc_id", "hashes", "sources"])
-        if not hashes:
+            for who, x, docs, n in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4))):
+                x, docs = np.frombuffer(x, np.uint64), np.frombuffer(docs, np.int64)
+                if who is None:
+                    h.append(x)
+                    d.append(np.repeat(docs, np.frombuffer(n, np.int32)))
+                else:
+                    mh.append(x)
+                    md.append(np.full(len(x), who, np.int64))
+                    ms.append(docs)
+        if h:
+            h, d = np.concatenate(h), np.concatenate(d)
+            order = np.lexsort((d, h))
+            h, d = h[order], d[order]
+            first = np.concatenate(([True], h[1:] != h[:-1]))
+            source = d[np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))]
+            again = d > source
+            mh.append(h[again])
+            md.append(d[again])
+            ms.append(source[again])
+        if not mh:
             return
-        h, d = np.concatenate(hashes), np.concatenate(docs)
-        hashes.clear()
-        docs.clear()
-        order = np.lexsort((d, h))
-        h, d = h[order], d[order]
-        first = np.concatenate(([True], h[1:] != h[:-1]))
-        source = d[np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))]
-        again = d > source
-        found = _by_document(h[again], d[again], source[again])
-        while some := list(itertools.islice(found, 10_000)):
+        h, d, source = np.concatenate(mh), np.concatenate(md), np.concatenate(ms)
+        bucket = _bucket_of(d, buckets)
+        order = np.lexsort((d, bucket))
+        h, d, source, bucket = h[order], d[order], source[order], bucket[order]
+        cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(d)]) if len(d) else ():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _, _ in some], pa.int64()),
-                 pa.array([a.tobytes() for _, a, _ in some], pa.binary()),
-                 pa.array([b.tobytes() for _, _, b in some], pa.binary())],
-                names=["doc_id", "hashes", "sources"])
+                [pa.array([bucket[lo]], pa.int32()),
+                 *(pa.array([x[lo:hi].tobytes()], pa.binary()) for x in (d, h, source))],
+                names=["bucket", "docs", "hashes", "sources"])
 
     # one part may share a partition with others; a hash is in one part, so in one partition
     return edges.repartition(parts, "part").mapInArrow(find, MARKS)
@@ -150,27 +167,54 @@ def _paths_of(sources: np.ndarray, marked: np.ndarray):
         yield int(run[0]), len(run), int(sources[run[0]])
 
 
-def _cut(docs_with_marks: DataFrame, window: int) -> DataFrame:
-    """Compacts marks to paths, cuts the covered words and digests the rest. Columns: doc_id,
-    text, hashes and sources (arrays of packed marks, null without any), refused (packed second
-    hashes whose windows must stay)."""
+class _BucketMarks:
+    """The marks of one bucket's documents, found by document."""
+
+    def __init__(self):
+        self.packed, self.sorted = [], None
+
+    def add(self, docs: bytes, hashes: bytes, sources: bytes) -> None:
+        self.packed.append((np.frombuffer(docs, np.int64), np.frombuffer(hashes, np.uint64),
+                            np.frombuffer(sources, np.int64)))
+
+    def of(self, doc_id: int):
+        """(hashes, sources) of a document, sorted by hash and source."""
+        if self.sorted is None:
+            d, h, s = (np.concatenate(x) for x in zip(*self.packed)) if self.packed else (
+                np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64))
+            self.packed = []
+            order = np.lexsort((s, h, d))
+            self.sorted = d[order], h[order], s[order]
+        d, h, s = self.sorted
+        lo, hi = np.searchsorted(d, [doc_id, doc_id + 1])
+        return h[lo:hi], s[lo:hi]
+
+
+def _cut(rows: DataFrame, window: int) -> DataFrame:
+    """Compacts marks to paths, cuts the covered words and digests the rest. Rows come sorted by
+    bucket with the bucket's marks (kind 0) before its documents (kind 1), which pass one by one.
+    ``refused``: packed second hashes whose windows must stay."""
     def cut(batches):
         known, checks = WordHashes(), WordHashes(CHECK_SEED)
+        marks, current = _BucketMarks(), None
         for batch in batches:
             for lo, texts in text_slices(batch, "text"):
                 part = batch.slice(lo, len(texts))
-                cols = {c: part[c].to_pylist() for c in ("hashes", "sources", "refused")}
-                rows = []
-                for t, hashes, sources, refused in zip(texts, *cols.values()):
+                cols = zip(*(part[c].to_pylist() for c in (
+                    "bucket", "kind", "doc_id", "docs", "hashes", "sources", "refused")))
+                out = []
+                for t, (bucket, kind, doc_id, docs, hashes, sources, refused) in zip(texts, cols):
+                    if bucket != current:
+                        marks, current = _BucketMarks(), bucket
+                    if kind == 0:
+                        marks.add(docs, hashes, sources)
+                        continue
                     ws = t.split() if t else []
                     gone, paths = np.zeros(len(ws), bool), []
-                    if hashes:
+                    mh, ms = marks.of(doc_id) if doc_id is not None else ((), ())
+                    if len(mh):
                         h = ngram_hashes(known.of(ws), window)
                         c = ngram_hashes(checks.of(ws), window)
-                        mh = np.frombuffer(b"".join(hashes), np.uint64)
-                        ms = np.frombuffer(b"".join(sources), np.int64)
-                        order = np.lexsort((ms, mh))
-                        mh, ms = mh[order], ms[order]
                         place = np.minimum(np.searchsorted(mh, h), len(mh) - 1)
                         marked = mh[place] == h
                         if refused is not None:
@@ -179,16 +223,17 @@ def _cut(docs_with_marks: DataFrame, window: int) -> DataFrame:
                             gone[start:start + n + window - 1] = True
                             paths.append({"start": start, "length": n, "source": source,
                                           "checks": c[start:start + n].tobytes()})
-                    kept = b" ".join(w for w, g in zip(ws, gone) if not g) if gone.any() \
-                        else b" ".join(ws)
-                    rows.append((len(ws), int(gone.sum()), hashlib.sha256(kept).hexdigest(), paths))
-                n, removed, digest, paths = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
-                     pa.array(digest, pa.string()), pa.array(paths, _PATHS)],
-                    names=["doc_id", "n_words", "n_removed", "kept_sha256", "paths"])
+                    kept = b" ".join([w for w, g in zip(ws, gone.tolist()) if not g]
+                                     if paths else ws)
+                    out.append((doc_id, len(ws), int(gone.sum()),
+                                hashlib.sha256(kept).hexdigest(), paths))
+                if out:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(zip(*out), (
+                            pa.int64(), pa.int64(), pa.int64(), pa.string(), _PATHS))],
+                        names=["doc_id", "n_words", "n_removed", "kept_sha256", "paths"])
 
-    return docs_with_marks.mapInArrow(cut, RESULT)
+    return rows.mapInArrow(cut, RESULT)
 
 
 _PATHS = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()),
@@ -225,12 +270,19 @@ def _refused(docs: DataFrame, paths: DataFrame, window: int) -> DataFrame:
     return rows.mapInArrow(verify, "source bigint, refused binary")
 
 
-def _with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """Documents with all their marks; a document's marks are at most its words."""
-    of = marks.groupBy(F.col("doc_id").alias("d")).agg(
-        F.collect_list("hashes").alias("hashes"), F.collect_list("sources").alias("sources"))
-    return docs.join(of, F.col("doc_id") == F.col("d"), "left").select(
-        "doc_id", "text", "hashes", "sources")
+def _with_marks(docs: DataFrame, marks: DataFrame, buckets: int) -> DataFrame:
+    """Documents (doc_id, text, refused) and marks, brought together by bucket. Documents
+    without an id, which have no marks, are spread over the buckets."""
+    spread = F.coalesce("doc_id", F.xxhash64("text"))
+    nothing = F.lit(None).cast("binary")
+    rows = docs.select(_bucket(spread, buckets).alias("bucket"), F.lit(1).alias("kind"), "doc_id",
+                       "text", "refused", nothing.alias("docs"), nothing.alias("hashes"),
+                       nothing.alias("sources"))
+    packed = marks.select("bucket", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("doc_id"),
+                          F.lit(None).cast("string").alias("text"), nothing.alias("refused"), "docs",
+                          "hashes", "sources")
+    return packed.unionByName(rows).repartition(buckets, "bucket").sortWithinPartitions(
+        "bucket", "kind")
 
 
 def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -247,9 +299,10 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(8, -(-size // BYTES_PER_PART))
     edges = _edges(docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()), parts, window)
-    marks = materialise(_marks(edges, parts), "marks")
-    marked = _with_marks(docs, marks)
-    cut = materialise(_cut(marked.withColumn("refused", F.lit(None).cast("binary")), window), "cut")
+    buckets = max(8, -(-size // BYTES_PER_BUCKET))
+    marks = materialise(_marks(edges, parts, buckets), "marks")
+    plain = docs.withColumn("refused", F.lit(None).cast("binary"))
+    cut = materialise(_cut(_with_marks(plain, marks, buckets), window), "cut")
     paths = cut.select("doc_id", F.explode("paths").alias("path"))
     refused = materialise(_refused(docs.where(F.col("doc_id").isNotNull()), paths, window), "refused")
     if refused.isEmpty():
@@ -259,10 +312,9 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.col("doc_id").alias("r"), "refused").distinct().groupBy("r").agg(
         F.array_join(F.collect_list(F.hex("refused")), "").alias("x")).select(
         "r", F.unhex("x").alias("refused"))
-    again = marked.join(by_doc, F.col("doc_id") == F.col("r")).select(
-        "doc_id", "text", "hashes", "sources", "refused")
+    again = docs.join(by_doc, F.col("doc_id") == F.col("r")).select("doc_id", "text", "refused")
     rest = cut.join(by_doc, F.col("doc_id") == F.col("r"), "left_anti")
-    return rest.unionByName(_cut(again, window))
+    return rest.unionByName(_cut(_with_marks(again, marks, buckets), window))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
