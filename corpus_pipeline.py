@@ -44,11 +44,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that also stand in a document with a smaller id. A document of which
     nothing is left goes; documents that were empty before stay."""
-    row = docs.select(F.struct("*").alias("before"), "doc_id", "text")
-    cut = remove_repeats(row)
-    emptied = (F.trim(F.col("text")) == "") & (F.coalesce(F.trim("before.text"), F.lit("")) != "")
-    return cut.where(~F.coalesce(emptied, F.lit(False))).select(
-        F.col("before").withField("text", F.col("text")).alias("row")).select("row.*")
+    return remove_repeats(docs, drop_emptied=True)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from sigscore.llm.near_dedup import _blocks
 
 NEAREST = 10
 QUERY_EVERY = 100
-TABLES, PROJECTIONS, PROBES = 12, 8, 64
+TABLES, PROJECTIONS, PROBES = 12, 8, 96
 WIDTH = 1.4             # cell width in units of the sample's median distance
 SAMPLE = 512            # vectors that the width is measured on, those with the smallest hashes
 ENTRIES_PER_PLACE = 2_048

@@ -317,11 +317,12 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return rest.unionByName(_cut(_with_marks(again, marks, buckets), window))
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, drop_emptied: bool = False) -> DataFrame:
     """``docs`` with the repeated passages cut from ``text``: its kept words, joined by one space
     where words were removed, and the text as it was where none were. Every other column stays;
-    every row stays, with an empty text if all its words were repeats. Rows that share an id are
-    cut alike only where their words are: spans are looked up by id and number of words."""
+    every row stays, with an empty text if all its words were repeats, unless ``drop_emptied``
+    says that such rows go. Rows that share an id are cut alike only where their words are:
+    spans are looked up by id and number of words, and the digest must agree."""
     cut = find_repeats(docs, window).where(F.col("n_removed") > 0).select(
         F.col("doc_id").alias("c"), F.col("n_words").alias("n"), "kept_sha256",
         F.transform("paths", lambda p: F.struct(p["start"].alias("start"),
@@ -341,9 +342,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         left = b" ".join(w for w, g in zip(ws, gone) if not g)
         return left.decode() if hashlib.sha256(left).hexdigest() == digest else None
 
-    text = F.coalesce(F.when(F.col("c").isNotNull(), kept("row.text", "spans", "n", "kept_sha256")),
-                      F.col("row.text"))
-    return joined.select(F.col("row").withField("text", text).alias("row")).select("row.*")
+    joined = joined.withColumn("cut", F.when(F.col("c").isNotNull(), kept(
+        "row.text", "spans", "n", "kept_sha256")))
+    if drop_emptied:
+        joined = joined.where(F.col("cut").isNull() | (F.col("cut") != ""))
+    text = F.coalesce("cut", "row.text")
+    return joined.select(*[(text if f == "text" else F.col("row").getField(f)).alias(f)
+                           for f in docs.columns])
 
 
 def op5(spark, sf_dir):
