@@ -131,7 +131,7 @@ def main() -> None:
     big_raw = spark.table(big_name)
     times["cook_signals_20m"] = _timed(lambda: _noop(cook_signals(big_raw, dim)))
     times["cook_signals_20m_skew_split"] = _timed(lambda: _noop(
-        cook_signals(big_raw, dim, broadcast_max_bytes=0, rows_per_task=1_000_000)))
+        cook_signals(big_raw, dim, broadcast_max_bytes=0)))
 
     def save_big():
         name = unique_name("bench_big_cooked")

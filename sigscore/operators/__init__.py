@@ -10,5 +10,4 @@ from sigscore.operators.preview import describe_schema, preview_rows  # noqa: F4
 from sigscore.operators.projections import (add_null_column, add_product_column,  # noqa: F401
                                             filter_gt, select_columns, select_score_inputs,
                                             select_two, with_text_timestamps)
-from sigscore.operators.sizing import (fits_broadcast, has_at_most, lookup_join,  # noqa: F401
-                                       measured_size, salted_left_join)
+from sigscore.operators.sizing import fits_broadcast, lookup_join, measured_size  # noqa: F401

@@ -72,7 +72,7 @@ def join_inner_alias(left: DataFrame, right: DataFrame, key: str = "meta_past_id
     ``<alias>_<key>``; other columns keep their names unless both sides have them.
 
     Planned like every fact-to-dimension join here: the right side is broadcast when its
-    measured size is within the budget, else a skew-aware shuffle join on the key.
+    measured size is within the budget, else a shuffle join on the key.
     """
     both = (set(left.columns) & set(right.columns)) - {key}
 

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from sigscore.functions.curves import Curve, score_expr, speedtest
 from sigscore.operators.dimension import dim_current
 from sigscore.operators.projections import with_text_timestamps
-from sigscore.operators.sizing import (DEFAULT_BROADCAST_MAX_BYTES, DEFAULT_ROWS_PER_TASK,
-                                       lookup_join)
+from sigscore.operators.sizing import DEFAULT_BROADCAST_MAX_BYTES, lookup_join
 from sigscore.schemas import SCORED_COLUMNS, SCORED_NO_HALFLIFE_COLUMNS
 
 KEY_SIDES = ("fact", "dim")
@@ -38,23 +37,21 @@ def score_signals_text_ts(raw: DataFrame, curves: Mapping[int, Curve] | None = N
 
 
 def enrich_halflife(scored: DataFrame, current_dim: DataFrame, key_side: str = "fact",
-                    broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
-                    rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
+                    broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """Attach ``meta_past_halflife`` by a left outer join on ``meta_past_id``.
 
     A subtype with several current versions repeats the signal once per version (the join's
     meaning; see ``dim_duplicate_keys``). ``key_side="fact"`` keeps the signal's own id;
     ``key_side="dim"`` keeps the dimension's id, which is NULL for an unmatched signal.
-    The dimension is broadcast after a bounded size measurement; beyond the budget the join
-    shuffles, with hot subtypes split over several tasks (``salted_left_join``) so that a
-    dominant subtype does not land in a single task.
+    The dimension is broadcast after its size is measured; beyond the budget the join shuffles,
+    and adaptive execution splits the partitions of dominant or NULL subtypes (``lookup_join``).
     """
     if key_side not in KEY_SIDES:
         raise ValueError(f"key_side must be one of {KEY_SIDES}")
     dim = current_dim.select(F.col("meta_past_id").alias("_dim_key"),
                              F.col("meta_past_halflife").cast("bigint").alias("meta_past_halflife"))
     joined = lookup_join(scored, dim, "meta_past_id", "_dim_key", "left",
-                         broadcast_max_bytes=broadcast_max_bytes, rows_per_task=rows_per_task)
+                         broadcast_max_bytes=broadcast_max_bytes)
     key = F.col("meta_past_id") if key_side == "fact" else F.col("_dim_key")
     return joined.select(*[key.alias("meta_past_id") if c == "meta_past_id" else F.col(c)
                            for c in SCORED_COLUMNS])
@@ -62,11 +59,10 @@ def enrich_halflife(scored: DataFrame, current_dim: DataFrame, key_side: str = "
 
 def cook_signals(raw: DataFrame, dim: DataFrame, key_side: str = "fact",
                  curves: Mapping[int, Curve] | None = None,
-                 broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
-                 rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
+                 broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """Score, keep current dimension rows, attach the half-life, project the 14 columns.
 
     One narrow stage over the fact: native score expression + broadcast hash join probe.
     """
     return enrich_halflife(score_signals(raw, curves), dim_current(dim), key_side,
-                           broadcast_max_bytes, rows_per_task)
+                           broadcast_max_bytes)

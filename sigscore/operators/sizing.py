@@ -1,9 +1,7 @@
-"""Size guards for broadcast joins and the skew-aware shuffle join used beyond them."""
+"""Size guard for broadcast joins, and the shuffle join used beyond it."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,23 +13,6 @@ DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 _FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
                 "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
 _ROW_HEADER_BYTES = 8
-# Beyond the broadcast bound: a key holding more fact rows than this is split over several
-# shuffle partitions (about this many rows each).
-DEFAULT_ROWS_PER_TASK = 4_000_000
-# At most this many hot keys are split explicitly (the heaviest ones); lighter skew is left to
-# AQE's skew-join split, which is on as well.
-DEFAULT_MAX_HOT_KEYS = 10_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows.
-
-    Bounded work: ``limit(max_rows + 1)`` stops reading once the bound is passed, so a huge
-    input is never scanned in full just to learn that it is too big.
-    """
-    if max_rows < 0:
-        return False
-    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def _fixed_width(data_type: T.DataType) -> int | None:
@@ -46,10 +27,9 @@ def _fixed_width(data_type: T.DataType) -> int | None:
 def measured_size(df: DataFrame, max_bytes: int) -> tuple[int, int] | None:
     """``(rows, bytes)`` of ``df`` when they are within ``max_bytes``, else ``None``.
 
-    One bounded pass: at most ``max_bytes // fixed_row_bytes + 1`` rows are read (the row
-    bound any fitting frame must meet), counting rows and summing the real byte length of
-    every variable-width value (strings, binary; JSON text for nested types). Each value
-    also counts an 8-byte slot.
+    One distributed pass: every task counts its rows and sums the real byte length of their
+    variable-width values (strings, binary; JSON text for nested types) and sends one row. Each
+    value also counts an 8-byte slot.
     """
     fixed, variable = _ROW_HEADER_BYTES, []
     for field in df.schema.fields:
@@ -62,17 +42,10 @@ def measured_size(df: DataFrame, max_bytes: int) -> tuple[int, int] | None:
                                                                    T.StructType)) \
                     else col.cast("string")
             variable.append(F.coalesce(F.octet_length(col), F.lit(0)).cast("bigint"))
-    if max_bytes < fixed:
-        return None
-    max_rows = max_bytes // fixed
     var_sum = sum(variable[1:], variable[0]) if variable else F.lit(0).cast("bigint")
-    row = (df.limit(max_rows + 1)
-           .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(var_sum), F.lit(0)).alias("v"))
-           .first())
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(var_sum), F.lit(0)).alias("v")).first()
     rows, size = int(row["n"]), int(row["n"]) * fixed + int(row["v"])
-    if rows > max_rows or size > max_bytes:
-        return None
-    return rows, size
+    return None if size > max_bytes or max_bytes < fixed else (rows, size)
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
@@ -80,94 +53,18 @@ def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES)
     return max_bytes >= 0 and measured_size(df, max_bytes) is not None
 
 
-def hot_key_salts(fact: DataFrame, key: str, rows_per_task: int = DEFAULT_ROWS_PER_TASK,
-                  max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame | None:
-    """``(_hot_key, _n_salts)`` for the keys holding more than ``rows_per_task`` fact rows.
-
-    One aggregation over the key column (partial counts per task, so a hot key costs one row
-    per task in the shuffle) and a top-``max_hot_keys`` by count: the result is bounded by
-    construction. ``None`` when no key is hot.
-    """
-    counts = (fact.where(F.col(key).isNotNull()).groupBy(key)
-              .agg(F.count(F.lit(1)).alias("_n"))
-              .where(F.col("_n") > rows_per_task)
-              .orderBy(F.col("_n").desc()).limit(max_hot_keys))
-    rows = counts.collect()
-    if not rows:
-        return None
-    key_type = fact.schema[key].dataType
-    schema = T.StructType([T.StructField("_hot_key", key_type),
-                           T.StructField("_n_salts", T.LongType())])
-    salts = [(r[0], int(math.ceil(r[1] / rows_per_task))) for r in rows]
-    return fact.sparkSession.createDataFrame(salts, schema)
-
-
-def salted_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                     rows_per_task: int = DEFAULT_ROWS_PER_TASK,
-                     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
-    """Left outer equi-join that stays balanced when one key holds a large share of the fact.
-
-    Each hot key gets ``ceil(rows / rows_per_task)`` salt values: its fact rows take one of
-    them from a hash of the whole row (deterministic, so a recomputed task routes rows the
-    same way) and its dimension rows are copied once per salt. Cold keys keep salt 0 and one
-    copy. The join on ``(key, salt)`` is a single shuffle into ``join_partitions`` partitions,
-    sized from the data; every fact row still meets every matching dimension row, so the
-    result equals the plain join.
-    """
-    salts = hot_key_salts(fact, fact_key, rows_per_task, max_hot_keys)
-    parts = join_partitions(fact, rows_per_task)
-    if salts is None:  # no key is hot: a plain shuffle join, sized the same way
-        f, d = fact.repartition(parts, fact_key), dim.repartition(parts, dim_key)
-        return f.join(d, f[fact_key] == d[dim_key], "left")
-    salts = F.broadcast(salts)
-    n_salts = F.coalesce(F.col("_n_salts"), F.lit(1).cast("bigint"))
-    fact_cols = fact.columns
-    salted_fact = (fact.join(salts, fact[fact_key] == salts["_hot_key"], "left")
-                   .select(*[F.col(c) for c in fact_cols],
-                           F.pmod(F.xxhash64(*[F.col(c) for c in fact_cols]), n_salts)
-                           .alias("_salt")))
-    dim_cols = dim.columns
-    salted_dim = (dim.join(salts, dim[dim_key] == salts["_hot_key"], "left")
-                  .select(*[F.col(c) for c in dim_cols],
-                          F.explode(F.sequence(F.lit(0).cast("bigint"), n_salts - 1))
-                          .alias("_dim_salt")))
-    # Both sides hash-partitioned alike on (key, salt): the join adds no further exchange.
-    salted_fact = salted_fact.repartition(parts, fact_key, "_salt")
-    salted_dim = salted_dim.repartition(parts, dim_key, "_dim_salt")
-    cond = ((salted_fact[fact_key] == salted_dim[dim_key])
-            & (salted_fact["_salt"] == salted_dim["_dim_salt"]))
-    return salted_fact.join(salted_dim, cond, "left").drop("_salt", "_dim_salt")
-
-
-def join_partitions(fact: DataFrame, rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> int:
-    """Shuffle partitions for a join of ``fact``: about ``rows_per_task / 2`` rows each
-    (room for hash collisions of the salt buckets), never fewer than the session's setting.
-
-    ``count()`` reads no column data on Parquet (row-group metadata), so sizing from the data
-    is cheap; the join then holds at any scale whatever the session was configured with.
-    """
-    rows = fact.count()
-    configured = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(configured, 2 * int(math.ceil(rows / rows_per_task)), 1)
-
-
 def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                how: str = "left", broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
-                rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
+                how: str = "left",
+                broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """Fact-to-dimension equi-join: broadcast when the dimension's measured size is within
-    the budget, else a skew-aware shuffle join.
+    the budget, else a sort-merge join whose shuffles the planner places.
 
-    The broadcast path never shuffles the fact: each fact partition probes the hash relation
-    where it is. Key names must differ between the two sides. A streaming fact cannot be
-    measured for hot keys, so beyond the budget it gets the plain stream-static shuffle join.
+    The broadcast path never shuffles the fact. Beyond it, adaptive execution splits every
+    oversized fact partition by map output, whatever fills it: one hot key, many of them, or
+    NULL keys. That holds for exchanges the planner inserts, so no ``repartition`` stands before
+    the join. A streaming fact gets the same join without that split, which Spark has for
+    batches only. Key names must differ between the two sides.
     """
     if fits_broadcast(dim, broadcast_max_bytes):
         return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], how)
-    if how not in ("left", "left_outer", "inner"):
-        raise ValueError(f"unsupported join type beyond the broadcast bound: {how}")
-    if fact.isStreaming:
-        return fact.join(dim, fact[fact_key] == dim[dim_key], how)
-    joined = salted_left_join(fact, dim, fact_key, dim_key, rows_per_task)
-    if how == "inner":
-        joined = joined.where(F.col(dim_key).isNotNull())
-    return joined
+    return fact.join(dim.hint("merge"), fact[fact_key] == dim[dim_key], how)

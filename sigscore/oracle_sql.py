@@ -1,18 +1,45 @@
 """DuckDB SQL for the fixture views and the score curves (the independent oracle).
 
 The same derivations as ``sources.fixtures``, written as DuckDB SQL over the driver's tables;
-the curves come as portable SQL text from ``functions.sql`` (the registered Spark queries use the
-Column functions, so the two sides stay independent). Double constants are spelt as
-``CAST('…' AS DOUBLE)``: a bare decimal literal is DECIMAL in DuckDB.
+the curves and their numbers are written out here once more, so that a wrong constant or formula
+on the Spark side does not pass. Double constants are spelt as ``CAST('…' AS DOUBLE)``: a bare
+decimal literal is DECIMAL in DuckDB.
 """
 
 from __future__ import annotations
 
-from sigscore.functions.sql import (DEFAULT_CURVES_SQL, d, hfc_sql,  # noqa: F401
-                                    score_sql, speedtest_sql)
 from sigscore.sources.fixtures import SUBTYPE_DIM_ROWS
 
 
+def d(value: float) -> str:
+    """A DOUBLE literal."""
+    return f"CAST('{float(value)!r}' AS DOUBLE)"
+
+
+def speedtest_sql(x: str) -> str:
+    """Arctangent arms around 80: 5 at 100 above it (slope 0.1), -2 at 0 below it (slope 0.6)."""
+    up = f"{d(5)} / atan({d(0.1)} * ({d(100)} - {d(80)})) * atan({d(0.1)} * ({x} - {d(80)}))"
+    down = f"{d(-2)} / atan({d(-0.6)} * {d(80)}) * atan({d(-0.6)} * ({d(80)} - {x}))"
+    return f"(CASE WHEN {x} > {d(80)} THEN {up} ELSE {down} END + {d(0)})"
+
+
+def hfc_sql(x: str) -> str:
+    """Exponential decay (rate 1.2) from 0 towards -2."""
+    return f"({d(2)} * exp({d(-1.2)} * {x}) - {d(2)} + {d(0)})"
+
+
+DEFAULT_CURVES_SQL = {2: speedtest_sql, 1: hfc_sql}
+
+
+def score_sql(tv: str = "technical_value", cr: str = "cust_relevance", st: str = "meta_past_id",
+              curves=None, default: float = 0.0) -> str:
+    """NULL inputs score NULL; then the subtype's curve of the product; else the default."""
+    whens = " ".join(f"WHEN {st} = {int(code)} THEN {curve(f'({tv} * {cr})')}"
+                     for code, curve in (curves or DEFAULT_CURVES_SQL).items())
+    return (f"CASE WHEN {tv} IS NULL OR {cr} IS NULL OR {st} IS NULL THEN CAST(NULL AS DOUBLE) "
+            f"{whens} ELSE {d(default)} END")
+
+
 RAW_SQL = f"""
 SELECT user_id AS party_id,
        event_id % 97 AS building_port_id,
@@ -72,3 +99,19 @@ def cook_sql(key: str = "s.meta_past_id", where: str = "") -> str:
 def with_ctes(select: str) -> str:
     """A SELECT over the fixture views, with their definitions as CTEs."""
     return CTES + select
+
+
+# A dimension that grows with the data (one row per customer), and facts with a dominant key,
+# NULL keys and a long tail: for the joins beyond the broadcast budget.
+WIDE_CTES = CTES.replace("WITH raw_signals AS (", "WITH narrow_signals AS (", 1).replace(
+    "),\n subtype_dim AS (", """),
+ raw_signals AS (SELECT * REPLACE (CASE WHEN root_id % 3 = 0 THEN 2 WHEN root_id % 7 = 0 THEN NULL
+   ELSE root_id % 997 + 1 END AS meta_past_id) FROM narrow_signals),
+ subtype_dim AS (SELECT c_custkey AS meta_past_id, CAST(c_nationkey AS BIGINT) AS meta_pat_id,
+   CAST(c_custkey % 89 AS BIGINT) AS meta_past_halflife,
+   CAST(CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE 1 END AS INTEGER) AS scd_is_active,
+   CAST(CASE WHEN c_custkey % 11 = 0 THEN 1 ELSE 0 END AS INTEGER) AS scd_is_deleted
+   FROM customer),
+ small_dim AS (""", 1)
+COOK_WIDE_SQL = (WIDE_CTES + "SELECT " + SCORED_SELECT.format(key="s.meta_past_id")
+                 + " FROM scored s LEFT JOIN current_dim c ON s.meta_past_id = c.dim_key")

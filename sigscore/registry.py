@@ -30,7 +30,6 @@ from sigscore.session import scratch_path, unique_name
 from sigscore.sinks import tables as W
 from sigscore.sources import fixtures as X
 from sigscore.sources.delimited import create_csv_table, load_csv_into_table, scan_csv
-from sigscore.sources.generator import generate_signals
 from sigscore.sources.jdbc import read_dimension
 from sigscore.sources.tables import scan_partition, scan_table
 
@@ -123,13 +122,6 @@ def q_load_csv_into_table(spark, sf):
     return spark.table(name)
 
 
-@register("generate_signals", None)
-def q_generate_signals(spark, sf):
-    """One generated (x1, x2, x3) per simple signal; random, so rows-only check."""
-    return generate_signals(spark, X.simple_signals(spark, sf), seed=11)
-
-
-# ----------------------------------------------------------------------------- projections
 @register("select_score_inputs", O.with_ctes(
     "SELECT meta_past_id, technical_value, cust_relevance FROM raw_signals"))
 def q_select_score_inputs(spark, sf):
@@ -205,6 +197,37 @@ def q_cook_signals_dim_key(spark, sf):
     return _round_score(_cooked(spark, sf, key_side="dim"))
 
 
+def _wide(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Facts with a dominant key, NULL keys and a tail, and a dimension of a row per customer."""
+    root = F.col("root_id")
+    key = F.when(root % 3 == 0, 2).when(root % 7 == 0, None).otherwise(root % 997 + 1)
+    c = spark.read.parquet(f"{str(sf).rstrip('/')}/customer.parquet")
+    dim = c.select(F.col("c_custkey").cast("long").alias("meta_past_id"),
+                   F.col("c_nationkey").cast("long").alias("meta_pat_id"),
+                   (F.col("c_custkey") % 89).cast("long").alias("meta_past_halflife"),
+                   F.when(F.col("c_custkey") % 5 == 0, 0).otherwise(1).alias("scd_is_active"),
+                   F.when(F.col("c_custkey") % 11 == 0, 1).otherwise(0).alias("scd_is_deleted"))
+    return _raw(spark, sf).withColumn("meta_past_id", key.cast("long")), dim
+
+
+@register("cook_signals_shuffle", O.COOK_WIDE_SQL)
+def q_cook_signals_shuffle(spark, sf):
+    """The job's join beyond the broadcast budget, forced here by a budget of nothing."""
+    raw, dim = _wide(spark, sf)
+    return _round_score(cook_signals(raw, dim, broadcast_max_bytes=0))
+
+
+@register("join_inner_alias_shuffle", O.WIDE_CTES + """
+SELECT s.root_id, s.meta_past_id AS l_meta_past_id, c.meta_past_id AS r_meta_past_id,
+       c.meta_past_halflife
+FROM raw_signals s JOIN subtype_dim c ON s.meta_past_id = c.meta_past_id""")
+def q_join_inner_alias_shuffle(spark, sf):
+    raw, dim = _wide(spark, sf)
+    return join_inner_alias(raw.select("root_id", "meta_past_id"),
+                            dim.select("meta_past_id", "meta_past_halflife"),
+                            broadcast_max_bytes=0)
+
+
 @register("select_two", O.with_ctes("SELECT x1, x2 FROM simple_signals"))
 def q_select_two(spark, sf):
     return select_two(X.simple_signals(spark, sf))

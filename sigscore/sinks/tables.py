@@ -20,8 +20,11 @@ from sigscore.schemas import PARTITION_COLUMNS, ddl
 from sigscore.session import unique_name
 from sigscore.sources.tables import parse_partition, partition_predicate
 
-# CSV keeps full timestamp precision only with an explicit pattern (the default drops micros).
-CSV_OPTIONS = {"header": "false", "sep": ",",
+# CSV keeps full timestamp precision only with an explicit pattern (the default drops micros),
+# edge blanks only when told to, and tells an empty string from NULL by a marker for NULL. Quotes
+# are doubled, so that a backslash is an ordinary character.
+CSV_OPTIONS = {"header": "false", "sep": ",", "escape": '"', "nullValue": "\\N",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
                "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
                "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"}
 

@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sigscore.schemas import SIMPLE_SCHEMA, SIMPLE_STRING_SCHEMA
+from sigscore.schemas import PARTITION_COLUMNS, SIMPLE_SCHEMA, SIMPLE_STRING_SCHEMA
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType = SIMPLE_SCHEMA,
-             sep: str = ",") -> DataFrame:
-    """A folder of headerless comma-separated files with a declared schema."""
+             sep: str = ",", mode: str = "FAILFAST") -> DataFrame:
+    """A folder of headerless comma-separated files with a declared schema.
+
+    A field that does not parse and a record with other than the declared number of fields
+    raise. ``mode="PERMISSIVE"`` reads them as NULLs instead and drops surplus fields; a schema
+    with a ``_corrupt_record`` STRING column then keeps the raw record of each.
+    """
     return (spark.read.schema(schema).option("header", "false").option("sep", sep)
-            .option("mode", "PERMISSIVE").csv(path))
+            .option("mode", mode).csv(path))
 
 
 def scan_csv_strings(spark: SparkSession, path: str,
@@ -31,12 +37,26 @@ def create_csv_table(spark: SparkSession, name: str, schema: T.StructType, locat
     return name
 
 
-def load_csv_into_table(spark: SparkSession, path: str, table: str, sep: str = ",") -> None:
+def load_csv_into_table(spark: SparkSession, path: str, table: str, sep: str = ",",
+                        mode: str = "FAILFAST") -> None:
     """Append the rows of a headerless CSV folder to an existing table.
 
-    The file is parsed with the table's own schema and matched by name, so column order in
-    the catalog decides nothing silently.
+    Headerless fields have a position only: they are read in the order of the table's columns.
+    Malformed records raise unless ``mode`` says otherwise (see ``scan_csv``).
     """
     target = spark.table(table)
-    rows = scan_csv(spark, path, target.schema, sep)
-    rows.select(*target.columns).write.insertInto(table)
+    scan_csv(spark, path, target.schema, sep, mode).write.insertInto(table)
+
+
+def load_csv_partition(spark: SparkSession, path: str, table: str, date: str, hour: int | str,
+                       sep: str = ",", mode: str = "FAILFAST") -> None:
+    """Load a staged headerless CSV folder, which has the table's data columns in order and no
+    ``date`` and ``hour``, into one static partition, replacing what is there."""
+    from sigscore.sinks.tables import replace_partition
+    from sigscore.sources.tables import parse_partition
+    day, h = parse_partition(date, hour)
+    target = spark.table(table)
+    data = T.StructType([f for f in target.schema.fields if f.name not in PARTITION_COLUMNS])
+    rows = scan_csv(spark, path, data, sep, mode)
+    replace_partition(spark, rows.withColumn("date", F.lit(day)).withColumn("hour", F.lit(h)),
+                      table, date, hour)

@@ -4,12 +4,13 @@ free of Python evaluation (only the caller's-pandas-curve query runs Python, by
 import pytest
 
 import __spark_entry__ as E
+from sigscore import registry
 from sigscore.plans.inspect import plan_text
 from tools.oracle_check import compare, duck
 
 from conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(registry.queries())
 PYTHON_BY_DESIGN = {"score_custom_curve"}
 
 

@@ -2,7 +2,6 @@
 
 
 from sigscore.operators import cook_signals, select_score_inputs
-from sigscore.operators.sizing import has_at_most
 from sigscore.plans.inspect import check_plan, plan_text
 from sigscore.schemas import PARTITION_COLUMNS
 from sigscore.session import scratch_path, unique_name
@@ -24,35 +23,19 @@ def test_cook_is_one_broadcast_probe(spark):
     assert "BroadcastExchange" in text
 
 
-def test_salted_fallback_equals_broadcast(spark):
+def test_shuffle_join_equals_broadcast(spark):
     raw = X.raw_signals(spark, SF_SMALL)
     dim = X.subtype_dim(spark)
     a = cook_signals(raw, dim)
-    b = cook_signals(raw, dim, broadcast_max_bytes=0, rows_per_task=50)
-    assert "BroadcastHashJoin" not in plan_text(b) or "SortMergeJoin" in plan_text(b)
-    assert a.count() == b.count()
+    b = cook_signals(raw, dim, broadcast_max_bytes=0)
+    b.collect()
+    check_plan(b, present=["SortMergeJoin"], absent=["BroadcastHashJoin"])
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    c = cook_signals(raw, dim, key_side="dim", broadcast_max_bytes=0, rows_per_task=1)
+    c = cook_signals(raw, dim, key_side="dim", broadcast_max_bytes=0)
     d = cook_signals(raw, dim, key_side="dim")
     assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
 
 
-def test_hot_keys_are_split(spark):
-    from sigscore.operators.sizing import hot_key_salts, salted_left_join
-    # One key holds ~2/3 of the fact: it must be split into several salts.
-    fact = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN id ELSE 7 END AS k")
-    salts = {r[0]: r[1] for r in hot_key_salts(fact, "k", rows_per_task=100).collect()}
-    assert salts == {7: 20}
-    dim = spark.createDataFrame([(7, "seven"), (7, "again"), (3, "three")], "dk long, v string")
-    out = salted_left_join(fact, dim, "k", "dk", rows_per_task=100)
-    assert out.count() == 2000 * 2 + 1000
-    per_salt = (fact.where("k = 7").selectExpr("pmod(xxhash64(id, k), 20) AS s")
-                .groupBy("s").count().collect())
-    assert len(per_salt) == 20 and max(r[1] for r in per_salt) < 200
-    assert out.where("k = 3").collect()[0]["v"] == "three"
-    assert out.where("k = 0").collect()[0]["v"] is None
-
-
 def test_measured_size_is_exact_and_bounded(spark):
     from sigscore.operators.sizing import fits_broadcast, measured_size
     df = spark.createDataFrame([(1, "ab", 2.0), (2, None, None), (3, "\u00e9", 1.0)],
@@ -70,13 +53,15 @@ def test_exchange_counts(spark):
     from sigscore.plans.inspect import exchange_count
     raw, dim = X.raw_signals(spark, SF_SMALL), X.subtype_dim(spark)
     assert exchange_count(cook_signals(raw, dim)) == 0
-    # Past the budget: the fact and the dimension are each shuffled once on (key, salt).
-    assert exchange_count(cook_signals(raw, dim, broadcast_max_bytes=0, rows_per_task=50)) == 2
+    # Past the budget: the fact and the dimension are each shuffled once on the key.
+    assert exchange_count(cook_signals(raw, dim, broadcast_max_bytes=0)) == 2
 
 
-def test_has_at_most(spark):
-    df = spark.range(10)
-    assert has_at_most(df, 10) and not has_at_most(df, 9) and not has_at_most(df, -1)
+def test_size_measure_sends_one_row_per_task(spark):
+    from sigscore.operators.sizing import fits_broadcast
+    assert not fits_broadcast(spark.range(0, 100_000, 1, 8), 1000)
+    text = plan_text(spark.range(0, 100_000, 1, 8).groupBy().count())
+    assert "Limit" not in text
 
 
 def test_column_pruning_reaches_scan(spark):

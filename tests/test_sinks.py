@@ -126,9 +126,9 @@ def test_overwrite_modes(spark):
 
 def test_insert_values_literal_row(spark):
     name = _table(spark)
-    row = (228918879, 92017266, 3445801, 13671760, "481C4CC6B7A", "CUSTOMER",
-           dt.datetime(2018, 1, 1, 0, 57, 25), dt.datetime(2018, 3, 15, 13, 33, 6), 2, None,
-           100.0, 112354305)
+    row = (11, 22, 33, 44, "00AA00BB00CC", "CUSTOMER",
+           dt.datetime(2018, 1, 1, 2, 3, 4), dt.datetime(2018, 1, 1, 2, 8, 4), 2, None,
+           100.0, 55)
     W.insert_values(spark, name, "2018-01-01", "02", [row])
     got = spark.table(name).collect()
     assert len(got) == 1

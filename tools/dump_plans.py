@@ -48,8 +48,8 @@ def main() -> None:
         ("count_rows (partial + final aggregate)", count_rows(raw)),
         ("lookup_halflife (map-side distinct, broadcast dimension)", lookup_halflife(dim, raw)),
         ("dim_duplicate_keys (partial counts per key)", dim_duplicate_keys(dim, raw)),
-        ("cook_signals beyond the broadcast bound (hot keys salted, one shuffle)",
-         cook_signals(raw, dim, broadcast_max_bytes=0, rows_per_task=5_000)),
+        ("cook_signals beyond the broadcast bound (sort-merge join, skew split by AQE)",
+         cook_signals(raw, dim, broadcast_max_bytes=0)),
         ("multi-partition write input (rebalance on date, hour)",
          cook_signals(raw, dim).hint("rebalance", *PARTITION_COLUMNS)),
         ("score_and_save input (string column, try_cast, one codegen stage)",
