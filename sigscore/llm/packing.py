@@ -25,7 +25,7 @@ CAPACITY = 2048
 END_ID = 0
 PIECES_PER_GROUP = 16_384
 TOKENIZER_FILE = "byte_bpe_50k.json"
-CACHE = 150_000  # remembered pieces of text per worker and kind
+CACHE = 400_000  # remembered pieces of text per worker and kind
 
 _TOUCHING = re.compile(r"\s\s|^\s|\s\Z")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -77,6 +77,16 @@ class Encoder:
                                   for line in lines) for lines in cut]
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_for(path: str) -> Encoder:
+    """This worker process's encoder: what it remembers serves all tasks that run there."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def _pieces_of(ids: bytes, capacity: int):
     """(start, length, crc32) of a document's pieces: whole if it fits, else full pieces after
     a first one that takes what is over."""
@@ -89,14 +99,14 @@ def _pieces_of(ids: bytes, capacity: int):
 
 
 def encode_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
-                  rows: int = 64) -> DataFrame:
+                  rows: int = 256) -> DataFrame:
     """One row per piece of every document: doc_id, piece, start, length, ids_crc32. A null or
     empty text is the end id alone."""
     path = path or tokenizer_path()
     end = END_ID.to_bytes(4, "little")
 
     def encode(batches):
-        encoder = Encoder(path)
+        encoder = encoder_for(path)
         for batch in batches:
             for lo in range(0, batch.num_rows, rows):
                 ids, texts = (c.to_pylist() for c in batch.slice(lo, rows).columns)
