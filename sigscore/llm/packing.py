@@ -49,6 +49,7 @@ class Encoder:
         self.first: dict[str, bytes] = {}   # at the start of a line
         self.spaced: dict[str, bytes] = {}  # after a lone space
         self.newline = self._ids(["\n"])[0]
+        self.stops = dict(zip(",.", self._ids([",", "."])))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         import numpy as np
@@ -58,8 +59,12 @@ class Encoder:
     def _learn(self, known: dict[str, bytes], wanted: set[str], prefix: str) -> dict[str, bytes]:
         if len(known) > self.keep:
             known.clear()
-        new = [c for c in wanted if c not in known]
+        # a stop after a letter is a token of its own, so the word before it is encoded once
+        cut = {c: c[:-1] if c[-1:] in self.stops and c[-2:-1].isalpha() else c
+               for c in wanted if c not in known}
+        new = [c for c in set(cut.values()) if c not in known]
         known.update(zip(new, self._ids([prefix + c for c in new])))
+        known.update({c: known[stem] + self.stops[c[-1]] for c, stem in cut.items() if stem != c})
         return known
 
     def encode(self, texts: list[str]) -> list[bytes]:
