@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +28,9 @@ PIECES_PER_GROUP = 16_384
 TOKENIZER_FILE = "byte_bpe_50k.json"
 CACHE = 400_000  # remembered pieces of text per worker and kind
 
-_TOUCHING = re.compile(r"\s\s|^\s|\s\Z")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII signs but the apostrophe, which starts "'s"
+JOINED_CHARS = 1 << 16  # of new words that one call of the tokenizer takes
 PIECES_SCHEMA = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
 PACKED_SCHEMA = PIECES_SCHEMA + ", sequence_id bigint, offset bigint"
 
@@ -48,23 +50,65 @@ class Encoder:
         self.keep = keep
         self.first: dict[str, bytes] = {}   # at the start of a line
         self.spaced: dict[str, bytes] = {}  # after a lone space
+        self.tails: dict[str, bytes] = {}   # runs of signs after a letter
         self.newline = self._ids(["\n"])[0]
-        self.stops = dict(zip(",.", self._ids([",", "."])))
+        self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that start with a space
+        for token, i in self.tokenizer.get_vocab().items():
+            self.opens[i] = token.startswith("Ġ")
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, "<u4").tobytes() for x in found]
 
-    def _learn(self, known: dict[str, bytes], wanted: set[str], prefix: str) -> dict[str, bytes]:
+    def _spaced_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words without white space, each after a space. They are encoded in joined runs;
+        an id that starts with a space starts a word, as no other space is there."""
+        out, at = [], 0
+        while at < len(words):
+            end, chars = at, 0
+            while end < len(words) and chars < JOINED_CHARS:
+                chars += len(words[end]) + 1
+                end += 1
+            text = " " + " ".join(words[at:end])
+            ids = np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids,
+                             "<u4")
+            starts = np.flatnonzero(self.opens[ids]) * 4
+            if len(starts) != end - at:  # not expected of this vocabulary
+                out += self._ids([" " + w for w in words[at:end]])
+            else:
+                raw = ids.tobytes()
+                cuts = starts.tolist()
+                out += [raw[i:j] for i, j in zip(cuts, [*cuts[1:], len(raw)])]
+            at = end
+        return out
+
+    def _learn(self, known: dict[str, bytes], wanted: set[str], spaced: bool) -> dict[str, bytes]:
         if len(known) > self.keep:
             known.clear()
-        # a stop after a letter is a token of its own, so the word before it is encoded once
-        cut = {c: c[:-1] if c[-1:] in self.stops and c[-2:-1].isalpha() else c
-               for c in wanted if c not in known}
-        new = [c for c in set(cut.values()) if c not in known]
-        known.update(zip(new, self._ids([prefix + c for c in new])))
-        known.update({c: known[stem] + self.stops[c[-1]] for c, stem in cut.items() if stem != c})
+        # signs after a letter are tokens of their own, so the word before them is encoded once
+        cut, whole = {}, set()
+        for c in wanted.difference(known):
+            stem = c.rstrip(TAIL)
+            if len(stem) < len(c) and stem[-1:].isalpha():
+                cut[c] = stem
+                if stem not in known:
+                    whole.add(stem)
+            else:
+                whole.add(c)
+        if spaced:
+            plain = [c for c in whole if len(c.split()) == 1 and not c[0].isspace()
+                     and not c[-1].isspace()]
+            known.update(zip(plain, self._spaced_ids(plain)))
+            whole.difference_update(plain)
+        rest = list(whole)
+        known.update(zip(rest, self._ids([" " + c for c in rest] if spaced else rest)))
+        tails = self.tails
+        if len(tails) > self.keep:
+            tails.clear()
+        new = list({c[len(stem):] for c, stem in cut.items()}.difference(tails))
+        tails.update(zip(new, self._ids(new)))
+        for c, stem in cut.items():
+            known[c] = known[stem] + tails[c[len(stem):]]
         return known
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -72,14 +116,26 @@ class Encoder:
         this vocabulary take white space only as one leading space or as a run of its own."""
         cut = []
         for t in texts:
-            lines = [t] if _TOUCHING.search(t) else t.split("\n")
-            split = _LONE_SPACE.split if len(lines) == 1 else None
-            cut.append([split(x) if split else x.split(" ") for x in lines])
-        first = self._learn(self.first, {line[0] for lines in cut for line in lines}, "")
-        spaced = self._learn(self.spaced, {c for lines in cut for line in lines for c in line[1:]},
-                             " ")
-        return [self.newline.join(first[line[0]] + b"".join([spaced[c] for c in line[1:]])
-                                  for line in lines) for lines in cut]
+            words = t.split()
+            gaps = len(words) - 1
+            if gaps < 0 or sum(map(len, words)) + gaps < len(t):
+                cut.append([_LONE_SPACE.split(t)])  # runs of white space, or some at an end
+                continue
+            lines = t.count("\n")
+            if not lines and t.count(" ") == gaps:
+                cut.append([words])
+            elif lines + t.count(" ") == gaps:
+                cut.append([line.split(" ") for line in t.split("\n")])
+            else:
+                cut.append([_LONE_SPACE.split(t)])  # white space of other kinds
+        wanted: set[str] = set()
+        for lines in cut:
+            for line in lines:
+                wanted.update(line[1:])
+        first = self._learn(self.first, {line[0] for lines in cut for line in lines}, False)
+        spaced = self._learn(self.spaced, wanted, True)
+        return [self.newline.join([first[line[0]] + b"".join([spaced[c] for c in line[1:]])
+                                   for line in lines]) for lines in cut]
 
 
 _ENCODERS: dict[str, Encoder] = {}
