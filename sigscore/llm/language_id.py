@@ -28,6 +28,7 @@ EM_STEPS = 2
 FLOOR = 1e-7               # each piece's least probability
 LONGEST = 48               # bytes; a longer word is scored in parts of this length
 CACHE = 200_000            # remembered words per worker
+PARTS_AT_ONCE = 8_192      # words that one forward pass goes over
 UNKNOWN = "und"
 SEED = 51
 
@@ -64,24 +65,42 @@ class Unigrams:
     """Piece probabilities of several languages: piece -> one number per language."""
 
     def __init__(self, languages: list[str], table: dict[bytes, tuple]):
-        self.languages, self.table = languages, table
+        self.languages = languages
         self.longest = max(map(len, table), default=1)
+        # row 0, all zero, is that of byte strings which are not a piece
+        self.at = {p: i for i, p in enumerate(table, 1)}
+        self.rows = np.array([(0.0,) * len(languages), *table.values()]).reshape(
+            len(table) + 1, len(languages))
+
+    @property
+    def table(self) -> dict[bytes, tuple]:
+        return {p: tuple(self.rows[i]) for p, i in self.at.items()}
 
     def word(self, word: str) -> np.ndarray:
         """Log probability of a word per language."""
-        n = len(self.languages)
-        total = np.zeros(n)
-        for b in _parts(word):
+        return self.words([word])[0]
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Log probabilities, words x languages. The forward pass goes over many words at a
+        time, longest first, so that those which reach a byte are always the first ones."""
+        parts = sorted(((b, i) for i, w in enumerate(words) for b in _parts(w)),
+                       key=lambda x: len(x[0]), reverse=True)
+        total = np.zeros((len(words), len(self.languages)))
+        for lo in range(0, len(parts), PARTS_AT_ONCE):
+            some = [b for b, _ in parts[lo:lo + PARTS_AT_ONCE]]
+            size = np.array([len(b) for b in some])
             # probabilities of so few bytes stay far above the smallest double
-            ahead = [[1.0] * n] + [None] * len(b)
-            for end in range(1, len(b) + 1):
-                here = [0.0] * n
+            ahead = np.zeros((size[0] + 1, len(some), len(self.languages)))
+            ahead[0] = 1.0
+            for end in range(1, size[0] + 1):
+                reach = int(np.searchsorted(-size, -end, "right"))
                 for start in range(max(0, end - self.longest), end):
-                    p = self.table.get(b[start:end])
-                    if p is not None:
-                        here = [h + a * q for h, a, q in zip(here, ahead[start], p)]
-                ahead[end] = here
-            total += np.log(np.maximum(ahead[-1], 1e-300))
+                    row = np.fromiter([self.at.get(b[start:end], 0) for b in some[:reach]], np.int64, reach)
+                    hit = np.flatnonzero(row)
+                    ahead[end, hit] += ahead[start, hit] * self.rows[row[hit]]
+            chance = ahead[size, np.arange(len(some))]
+            np.add.at(total, [i for _, i in parts[lo:lo + PARTS_AT_ONCE]],
+                      np.log(np.maximum(chance, 1e-300)))
         return total
 
 
@@ -177,31 +196,42 @@ def identify(docs: DataFrame, model: Unigrams) -> DataFrame:
     largest probability and its posterior under equal priors. Ties go to the first name."""
     def score(batches):
         rows: dict[str, int] = {}
-        logs = np.zeros((CACHE, max(1, len(model.languages))))
+        logs = np.zeros((CACHE, len(model.languages)))
+
+        def add(pending: list, total: np.ndarray) -> None:
+            """Adds words, at most CACHE in all, to the totals of their texts."""
+            new = set().union(*(some for _, some in pending)).difference(rows)
+            if len(rows) + len(new) > CACHE:
+                rows.clear()
+                new = set().union(*(some for _, some in pending))
+            new = list(new)
+            first = len(rows)
+            rows.update(zip(new, range(first, first + len(new))))
+            logs[first:len(rows)] = model.words(new)
+            for i, some in pending:
+                total[i] += logs[np.fromiter(map(rows.__getitem__, some), np.int64, len(some))].sum(0)
+
         for texts in batches:
-            preds, scores = [], []
-            for t in texts.to_pylist():
+            total = np.zeros((len(texts), len(model.languages)))
+            known, pending, held = np.zeros(len(texts), bool), [], 0
+            for i, t in enumerate(texts.to_pylist() if model.languages else ()):
                 ws = words_of(t) if t else []
-                if not ws or not model.languages:
-                    preds.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                total = np.zeros(len(model.languages))
+                known[i] = bool(ws)
                 for lo in range(0, len(ws), CACHE // 2):
                     some = ws[lo:lo + CACHE // 2]
-                    new = set(some).difference(rows)
-                    if len(rows) + len(new) > CACHE:
-                        rows.clear()
-                        new = set(some)
-                    for w in new:
-                        rows[w] = i = len(rows)
-                        logs[i] = model.word(w)
-                    total += logs[np.fromiter(map(rows.__getitem__, some), np.int64, len(some))].sum(0)
-                best = int(total.argmax())
-                preds.append(model.languages[best])
-                scores.append(float(1 / np.exp(np.minimum(total - total[best], 0)).sum()))
-            yield pa.StructArray.from_arrays([pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
-                                             ["lang_pred", "score"])
+                    if held + len(some) > CACHE:
+                        add(pending, total)
+                        pending, held = [], 0
+                    pending.append((i, some))
+                    held += len(some)
+            if pending:
+                add(pending, total)
+            best = total.argmax(1) if model.languages else np.zeros(len(texts), int)
+            top = total.max(1, initial=-np.inf)[:, None]
+            share = 1 / np.exp(np.minimum(total - top, 0)).sum(1) if model.languages else np.zeros(len(texts))
+            yield pa.StructArray.from_arrays(
+                [pa.array([model.languages[j] if k else UNKNOWN for j, k in zip(best, known)], pa.string()),
+                 pa.array(np.where(known, share, 0.0), pa.float64())], ["lang_pred", "score"])
 
     score.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return docs.withColumn("language", F.arrow_udf(score, "lang_pred string, score double")("text"))
