@@ -24,6 +24,7 @@ from sigscore.llm.packing import tokenizer_path
 
 FOLDS, HELD_OUT_FOLD = 4, 2
 DOCS_PER_LANGUAGE = 1_500  # bound of the learning sample
+SHARES = 16                # parts in which a language's ids are ranked first
 EM_STEPS = 2
 FLOOR = 1e-7               # each piece's least probability
 LONGEST = 48               # bytes; a longer word is scored in parts of this length
@@ -163,11 +164,16 @@ def _em_step(counts: DataFrame, model: dict[str, dict[bytes, float]], longest: i
 
 def train(docs: DataFrame, path: str | None = None, per_language: int = DOCS_PER_LANGUAGE) -> Unigrams:
     """Learns from documents with a language outside the held-out fold, at most ``per_language``
-    of each language (smallest hashes of the id; only ids and languages are ranked, and the
-    ranking drops the rest in each task first)."""
+    of each language (smallest hashes of the id; only ids and languages are ranked, first
+    within shares of a language, so the last ranking sees SHARES * per_language rows of one at
+    most, however many tasks there are)."""
     learn = (crc_bucket(F.col("doc_id"), FOLDS) != HELD_OUT_FOLD) & F.col("lang").isNotNull()
-    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id")
+    order = [F.xxhash64(F.lit(SEED), "doc_id"), F.col("doc_id")]
+    share = Window.partitionBy("lang", "share").orderBy(*order)
+    first = Window.partitionBy("lang").orderBy(*order)
     ids = docs.where(learn).select("doc_id", "lang").withColumn(
+        "share", F.pmod(F.hash("doc_id"), F.lit(SHARES))).withColumn(
+        "rank", F.row_number().over(share)).where(F.col("rank") <= per_language).withColumn(
         "rank", F.row_number().over(first)).where(F.col("rank") <= per_language)
     ids = materialise(ids.select("doc_id", F.col("lang").alias("l")).distinct(), "language_ids")
     d = docs.select("doc_id", "lang", "text").alias("d")
