@@ -177,6 +177,21 @@ def test_toxicity(docs, labels, awkward):
     assert toxicity.toxicity(awkward.limit(0), labels).count() == 0
 
 
+def test_long_clean_text_is_kept(spark, docs, labels, texts):
+    rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("toxic = 0 and predicted = 0")
+    clean = "\n".join(texts[r["doc_id"]] for r in rows.select("doc_id").orderBy("doc_id").collect())
+    clean = "\n".join([clean] * (1 + 30_000 // sum(1 for _ in toxicity.sentence_spans(clean))))
+    long = spark.createDataFrame([(-1, clean), (-2, "Zqx vkj. " * 30_000)], "doc_id long, text string")
+    both = docs.select("doc_id", "text").unionByName(long)
+    kept = {r["doc_id"] for r in P.toxicity(spark, both, SF_SMALL).select("doc_id").collect()}
+    assert {-1, -2} <= kept
+    assert {r["score"] for r in toxicity.toxicity(long, labels.limit(0)).collect()} == {0.0}
+    model = toxicity.fit([(1, f"fine words. you are a grobian{i}. good day")
+                          if i % 2 else (0, f"fine words. good day {i}.") for i in range(60)])
+    text = "good day. fine words. " * 10_000
+    assert model.score(text)[0] < 0.5 < model.score(text + "you are a grobian. " + text)[0]
+
+
 def test_quality_classifier(docs, labels, awkward):
     got = quality_classifier.quality_scores(docs, labels).toPandas().merge(labels.toPandas(), on="doc_id")
     assert (got.held_out == got.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 4 == 2)).all()
