@@ -119,6 +119,15 @@ def test_components(spark):
     assert all(got[i] == 0 for i in range(41)) and got[105] == got[101] == 100
 
 
+def test_components_of_long_paths(spark):
+    n = 3_000
+    ids = np.random.default_rng(6).permutation(n).tolist()
+    falling = [n, *range(2 * n, n, -1)]  # the smallest id lies beyond a descending run
+    edges = [*zip(ids, ids[1:]), *zip(falling, falling[1:])]
+    got = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == {i: 0 if i < n else n for i in range(2 * n + 1)}
+
+
 # ---------------------------------------------------------------- quality rules
 def brute_base(text):
     w = words(text)
