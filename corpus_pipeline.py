@@ -32,13 +32,25 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates, the one with the smallest id. Rows
     that share the id stay if their texts differ; equal ones are one. Rows without an id stay."""
-    found = near_duplicates(docs, NEAR_SHINGLE_WORDS, NEAR_PERCENT)
+    row = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), "text")
+    named = row.where(F.col("id").isNotNull())
+    digest = F.coalesce(F.md5("text"), F.lit(""))
+    several = named.groupBy("id").agg(F.min(digest).alias("s"), F.max(digest).alias("t")).where("s < t")
+    if several.isEmpty():
+        named = named.withColumn("node", F.col("id"))
+    else:
+        # ids with several texts: each text is a document of its own, numbered in the order of ids
+        named = named.withColumn("digest", digest)
+        numbers = materialise(named.select("id", "digest").distinct().orderBy("id", "digest").withColumn(
+            "node", F.monotonically_increasing_id()), "near_nodes")
+        named = materialise(named.join(numbers, ["id", "digest"]).select("row", "id", "text", "node"),
+                            "near_named")
+    found = near_duplicates(named.select(F.col("node").alias("doc_id"), "text"), NEAR_SHINGLE_WORDS,
+                            NEAR_PERCENT)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    row = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
-    kept = row.join(gone, F.col("id") == F.col("gone"), "left_anti")
-    named = kept.where(F.col("id").isNotNull()).withColumn("text", F.col("row.text"))
-    once = named.dropDuplicates(["id", "text"]).select("row.*")
-    return once.unionByName(kept.where(F.col("id").isNull()).select("row.*"))
+    kept = named.join(gone, F.col("node") == F.col("gone"), "left_anti")
+    once = kept.dropDuplicates(["id", "text"]).select("row.*")
+    return once.unionByName(row.where(F.col("id").isNull()).select("row.*"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

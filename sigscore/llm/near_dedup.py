@@ -248,6 +248,16 @@ def _confirmed(docs: DataFrame, groups: DataFrame, weights: DataFrame, size: int
     return connected_components(links.unionByName(more))
 
 
+def _id_links(known: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (a, b) between the smallest documents of the sets that stand under one id."""
+    several = known.groupBy("doc_id").agg(F.min("same").alias("s"), F.max("same").alias("t")).where(
+        "s < t").select(F.col("doc_id").alias("id"))
+    of = known.join(several, F.col("doc_id") == F.col("id")).select("doc_id", "same").join(
+        reps.select("same", "rep"), "same")
+    low = of.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return of.join(low, "doc_id").where("a < rep").select("a", F.col("rep").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = LINK_PERCENT,
                     sub_keys: int = SUB_KEYS, hashes: int = HASHES_PER_SUB_KEY) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept, one row
@@ -265,11 +275,15 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = L
     reps = materialise(known.groupBy("same").agg(
         F.min("doc_id").alias("rep"), F.first("keys").alias("keys"),
         F.first("n_shingles").alias("n_shingles")), "classes")
-    # several sets under one id: the id's sets are linked through the id itself
     groups = _candidate_groups(reps)
     labels = None if groups is None else _confirmed(
         docs.where(F.col("doc_id").isNotNull()), groups, reps.select("rep", "n_shingles"),
         size, percent)
+    # several sets under one id: the id's sets are linked through the id itself
+    shared = materialise(_id_links(known, reps), "id_links")
+    if not shared.isEmpty():
+        labels = connected_components(shared if labels is None else shared.unionAll(
+            labels.select(F.col("component").alias("a"), F.col("node").alias("b"))))
     out = signed.drop("keys").join(reps.select("same", "rep"), "same", "left")
     if labels is None:
         component = F.coalesce("rep", "doc_id")

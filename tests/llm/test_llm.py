@@ -442,3 +442,15 @@ def test_stages_on_awkward_rows(spark, awkward):
     assert cut.columns == awkward.columns and cut.count() == len(AWKWARD) - 1  # 7 is all repeats
     for _, stage in P.STAGES:
         assert stage(spark, awkward.limit(0), SF_SMALL).count() == 0
+
+
+def test_near_dedup_of_ids_with_several_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (9, a), (9, b), (9, b), (3, c), (7, c + " z"), (7, "q r s t u v"), (12, b), (13, None),
+            (13, ""), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in P.near_dedup(spark, df, SF_SMALL).collect()]
+    want = [(5, a), (9, b), (3, c), (7, "q r s t u v"), (13, None), (13, ""), (None, a)]
+    assert collections.Counter(kept) == collections.Counter(want)
+    got = {(r["doc_id"], r["component_id"]) for r in near_dedup.near_duplicates(df).collect()}
+    assert got == {(5, 5), (9, 5), (12, 5), (3, 3), (7, 3), (13, 13), (None, None)}
