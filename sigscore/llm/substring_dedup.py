@@ -241,8 +241,8 @@ _PATHS = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()),
 
 
 def _refused(docs: DataFrame, paths: DataFrame, window: int) -> DataFrame:
-    """(source, checks) of the distinct paths with the second hashes that their source does not
-    have: none, but for collisions of the first hash."""
+    """(source, refused): of the distinct paths, the packed second hashes that no row of their
+    source has: none, but for collisions of the first hash."""
     asked = paths.select(F.col("path.source").alias("source"), F.col("path.checks").alias("checks")
                          ).distinct()
     rows = asked.join(docs, F.col("source") == F.col("doc_id")).select("source", "checks", "text")
@@ -259,15 +259,24 @@ def _refused(docs: DataFrame, paths: DataFrame, window: int) -> DataFrame:
                     if last != (s, t):
                         last, own = (s, t), ngram_hashes(checks.of((t or b"").split()), window)
                     a = np.frombuffer(a, np.uint64)
-                    missing = a[~np.isin(a, own)]
-                    if len(missing):
-                        out.append((s, missing.tobytes()))
+                    missing = np.unique(a[~np.isin(a, own)])
+                    path = hashlib.blake2b(a, digest_size=16).digest()
+                    out += [(s, path, c.tobytes()) for c in missing]
                 if out:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([x[0] for x in out], pa.int64()),
-                         pa.array([x[1] for x in out], pa.binary())], names=["source", "refused"])
-
-    return rows.mapInArrow(verify, "source bigint, refused binary")
+                        [pa.array(c, k) for c, k in zip(zip(*out), (
+                            pa.int64(), pa.binary(), pa.binary()))],
+                        names=["source", "path", "check"])
+
+    missing = materialise(rows.mapInArrow(verify, "source bigint, path binary, check binary"), "missing")
+    if missing.isEmpty():
+        return missing.select("source", F.col("check").alias("refused"))
+    # a source id may have several rows; a check is refused if it is missing in each of them
+    sources = docs.join(missing.select("source").distinct(), F.col("doc_id") == F.col("source")).groupBy(
+        "source").agg(F.count("*").alias("rows"))
+    each = missing.groupBy("source", "path", "check").agg(F.count("*").alias("n"))
+    return each.join(sources, "source").where("n = rows").select("source", "check").distinct().groupBy(
+        "source").agg(F.unhex(F.array_join(F.collect_list(F.hex("check")), "")).alias("refused"))
 
 
 def _with_marks(docs: DataFrame, marks: DataFrame, buckets: int) -> DataFrame:

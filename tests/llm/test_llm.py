@@ -310,6 +310,20 @@ def test_refused_windows_stay(spark, monkeypatch):
     assert {r["doc_id"]: r["n_removed"] for r in substring_dedup.find_repeats(df).collect()} == {1: 0, 2: 0}
 
 
+def test_source_id_with_several_texts(spark):
+    p, q = (" ".join(f"{x}{i}" for i in range(20)) for x in "pq")
+    rows = [(1, p), (1, q), (1, None), (5, p), (6, q + " " + p)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r)[:4] for r in substring_dedup.find_repeats(df).where("doc_id > 1").collect()]
+    want = brute_cut([r for r in rows if r[1]])
+    assert {r[0]: r[1:] for r in got} == {i: want[i] for i in (5, 6)} and want[5][1] == 20
+    # checks that no row of the source has are still refused
+    paths = spark.createDataFrame([((1, b"x" * 8 + b"y" * 8),), ((1, b"y" * 8),)],
+                                  "path struct<source:long, checks:binary>")
+    refused = substring_dedup._refused(df, paths, substring_dedup.WINDOW).collect()
+    assert len(refused) == 1 and sorted(bytes(refused[0]["refused"])) == sorted(b"x" * 8 + b"y" * 8)
+
+
 def test_substring_awkward(awkward):
     got = substring_dedup.find_repeats(awkward).toPandas()
     assert len(got) == len(AWKWARD)
