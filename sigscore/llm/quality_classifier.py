@@ -2,8 +2,9 @@
 
 Labelled documents give preference pairs: a good one before a bad one. The probability that one
 is preferred is the logistic function of the difference of the two scores, which are linear in
-the features, so fitting is logistic regression on feature differences. The threshold is the
-quantile of the sample's scores at the share of bad documents; the published score is the
+the features, so fitting is logistic regression on feature differences, on a bounded sample. The
+measures' means, scales and cuts are taken over all labelled learning rows, and the threshold is the
+quantile of all their scores at the share of bad documents; the published score is the
 logistic function of the distance to it, moved so that the threshold lies at 0.7.
 """
 
@@ -17,14 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigscore.llm._common import crc_bucket, table
+from sigscore.llm._common import crc_bucket, materialise, table
 from sigscore.llm._learning import labelled_sample
 
 FOLDS, HELD_OUT_FOLD = 4, 2
 DOCS_PER_CLASS = 3_000  # bound of the labelled sample
 PAIRS = 30_000
 STEPS, RATE, RIDGE = 400, 0.05, 1e-3
-BINS = 6                # each measure is also cut at the sample's quantiles
+BINS = 6                # each measure is also cut at its quantiles
+ACCURACY = 100_000      # a quantile's rank is at most a share of 1 / ACCURACY off
 THRESHOLD = 0.7
 MARKS = "#*$%&|<>!?"
 SEED = 41
@@ -70,15 +72,9 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
 
 
-def fit(rows, bad_share: float) -> Model | None:
-    """Learns from (y, text) rows; None without rows of both classes."""
-    y = np.array([r[0] for r in rows])
-    if not len(y) or y.min() == y.max():
-        return None
-    x = np.array([measures(t) for _, t in rows])
-    at = np.linspace(0, 1, BINS + 1)[1:-1]
-    cuts = [np.unique(np.quantile(c, at)) for c in x.T]
-    model = Model(cuts, x.mean(0), x.std(0) + 1e-9, None, 0.0)
+def fit(y, x, cuts, mean, scale) -> Model:
+    """Learns weights from the classes and measures of the sample; the threshold is left at 0."""
+    model = Model(cuts, mean, scale, None, 0.0)
     f = model.features(x)
     rng = np.random.default_rng(SEED)
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
@@ -90,22 +86,63 @@ def fit(rows, bad_share: float) -> Model | None:
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w = w - RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
     model.weights = w
-    # quantile at the bad share, each class weighing as in the labels, between two scores
-    raw = f @ w
-    weight = np.where(y == 1, (1 - bad_share) / len(good), bad_share / len(bad))
-    order = np.argsort(raw, kind="stable")
-    below = np.cumsum(weight[order])
-    i = min(int(np.searchsorted(below, bad_share - 1e-12)), len(raw) - 2)
-    model.threshold = float(raw[order[i]] + raw[order[i + 1]]) / 2
     return model
 
 
+def measured(docs: DataFrame, labels: DataFrame, learn) -> DataFrame:
+    """x (the measures) of every labelled document that ``learn`` allows."""
+    def measure(batches):
+        for texts in batches:
+            yield pa.array([[float(v) for v in measures(t)] for t in texts.to_pylist()],
+                           pa.list_(pa.float64()))
+
+    measure.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    ids = labels.where(learn & F.col("quality").cast("int").isin(0, 1)).select("doc_id").distinct()
+    return docs.select("doc_id", "text").join(ids, "doc_id").select(
+        F.arrow_udf(measure, "array<double>")("text").alias("x"))
+
+
+def statistics(rows: DataFrame, n: int):
+    """(cuts, mean, scale) of the ``n`` measures."""
+    at = F.array(*[F.lit(float(q)) for q in np.linspace(0, 1, BINS + 1)[1:-1]])
+    x = [F.col("x")[i] for i in range(n)]
+    got = rows.agg(F.array(*[F.percentile_approx(c, at, ACCURACY) for c in x]).alias("cuts"),
+                   F.array(*[F.avg(c) for c in x]).alias("mean"),
+                   F.array(*[F.stddev_pop(c) for c in x]).alias("scale")).first()
+    return ([np.unique(c) for c in got["cuts"]], np.round(got["mean"], 9),
+            np.round(got["scale"], 9) + 1e-9)
+
+
+def threshold_of(rows: DataFrame, model: Model, bad_share: float) -> float:
+    """The quantile of the rows' raw scores at ``bad_share``, between two scores."""
+    def raw(batches):
+        for x in batches:
+            f = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1) if len(x) else None
+            yield pa.array([] if f is None else model.features(f) @ model.weights, pa.float64())
+
+    raw.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    scores = materialise(rows.select(F.arrow_udf(raw, "double")("x").alias("raw")), "quality_raw")
+    q = scores.agg(F.percentile_approx("raw", F.lit(float(bad_share)), ACCURACY)).first()[0]
+    low, high = scores.agg(F.max(F.when(F.col("raw") <= q, F.col("raw"))),
+                           F.min(F.when(F.col("raw") > q, F.col("raw")))).first()
+    return low if high is None else (low + high) / 2
+
+
 def train(docs: DataFrame, labels: DataFrame, per_class: int = DOCS_PER_CLASS) -> Model | None:
-    """Learns outside the held-out fold. The share of bad documents is counted over all labels
-    there; documents are sampled, at most ``per_class`` of each class."""
+    """Learns outside the held-out fold; None without rows of both classes. Weights are learned
+    from at most ``per_class`` documents of each class; the share of bad documents is counted over
+    all labels there, and statistics and threshold are taken over all labelled documents there."""
     learn = crc_bucket(F.col("doc_id"), FOLDS) != HELD_OUT_FOLD
+    sample = labelled_sample(docs, labels, "quality", learn, per_class, SEED)
+    y = np.array([r[0] for r in sample])
+    if not len(y) or y.min() == y.max():
+        return None
+    x = np.array([measures(t) for _, t in sample])
     bad = labels.where(learn).agg(F.avg((F.col("quality") == 0).cast("double"))).first()[0]
-    return fit(labelled_sample(docs, labels, "quality", learn, per_class, SEED), bad or 0.0)
+    rows = materialise(measured(docs, labels, learn), "quality_measures")
+    model = fit(y, x, *statistics(rows, x.shape[1]))
+    model.threshold = threshold_of(rows, model, bad or 0.0)
+    return model
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = DOCS_PER_CLASS) -> DataFrame:

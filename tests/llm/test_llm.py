@@ -213,6 +213,16 @@ def test_quality_classifier(docs, labels, awkward):
     assert quality_classifier.quality_scores(awkward.limit(0), labels).count() == 0
 
 
+def test_quality_statistics_over_all_rows(docs, labels, texts):
+    model = quality_classifier.train(docs, labels, per_class=4)
+    y = {r["doc_id"]: r["quality"] for r in labels.collect()
+         if r["doc_id"] in texts and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2}
+    x = np.array([quality_classifier.measures(texts[i]) for i in y])
+    assert len(x) > 8 and np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, x.std(0))
+    below = (model.features(x) @ model.weights < model.threshold).mean()
+    assert abs(below - np.mean([v == 0 for v in y.values()])) <= 1 / len(x) + 1e-9
+
+
 def test_forward_sums_all_segmentations():
     model = language_id.Unigrams(["x"], {b" ": (.1,), b"a": (.2,), b"b": (.3,), b"ab": (.4,), b" a": (.5,)})
     # " ab": [ ,a,b] [ ,ab] [ a,b]
