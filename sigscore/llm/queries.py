@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sigscore.llm import (language_id, mixing, near_dedup, neighbours, packing,
+from sigscore.llm import (language_id, mixing, near_dedup, neighbours, packing, prefix_trie,
                           quality_classifier, quality_rules, substring_dedup, toxicity, url_filter)
 
 QUERIES = {
@@ -16,8 +16,9 @@ QUERIES = {
     "op8_language_id": language_id.op8,
     "op9_url_filter": url_filter.op9,
     "op10_packing": packing.op10,
+    "op11_prefix_trie": prefix_trie.op11,
 }
-ORACLE = {"op5_substring_dedup": substring_dedup.OP5_SQL}
+ORACLE = {"op5_substring_dedup": substring_dedup.OP5_SQL, "op11_prefix_trie": prefix_trie.OP11_SQL}
 
 
 def queries() -> dict:
