@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sigscore.llm import (language_id, mixing, near_dedup, neighbours, packing, prefix_trie,
+from sigscore.llm import (collocations, language_id, mixing, near_dedup, neighbours, packing, prefix_trie,
                           quality_classifier, quality_rules, substring_dedup, toxicity, url_filter)
 
 QUERIES = {
@@ -17,8 +17,13 @@ QUERIES = {
     "op9_url_filter": url_filter.op9,
     "op10_packing": packing.op10,
     "op11_prefix_trie": prefix_trie.op11,
+    "op13_collocations": collocations.op13,
+}
+ORACLE = {
+    "op5_substring_dedup": substring_dedup.OP5_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
+    "op13_collocations": collocations.OP13_SQL,
 }
-ORACLE = {"op5_substring_dedup": substring_dedup.OP5_SQL, "op11_prefix_trie": prefix_trie.OP11_SQL}
 
 
 def queries() -> dict:
