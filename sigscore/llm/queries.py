@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from sigscore.llm import (collocations, language_id, mixing, near_dedup, neighbours, packing, prefix_trie,
-                          quality_classifier, quality_rules, substring_dedup, toxicity, url_filter)
+                          quality_classifier, quality_rules, substring_dedup, suffix_dedup, toxicity,
+                          url_filter)
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1,
@@ -17,6 +18,7 @@ QUERIES = {
     "op9_url_filter": url_filter.op9,
     "op10_packing": packing.op10,
     "op11_prefix_trie": prefix_trie.op11,
+    "op12_suffix_dedup": suffix_dedup.op12,
     "op13_collocations": collocations.op13,
 }
 ORACLE = {
