@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -83,25 +83,37 @@ class HatTrie:
             out.setdefault(r[0], {})[r[1:]] = n
         return out
 
-    def take(self, share: float = 1.0):
+    def take(self, share: float = 1.0) -> tuple[list, list]:
         """Takes whole subtrees out, the largest first, until ``share`` of the entries are gone;
-        gives (first id, other ids, count)."""
+        gives the phrases and their counts."""
         def size(item):
             node, kept = item[1]
             return sum(map(len, kept.values())) if node else len(kept)
 
-        wanted, gone = self.entries * share, 0
+        phrases, counts, wanted = [], [], self.entries * share
         for first, (node, kept) in sorted(self.root.items(), key=size, reverse=True):
-            if gone >= wanted:
+            if len(phrases) >= wanted:
                 break
-            gone += size((first, (node, kept)))
             del self.root[first]
-            if node:
-                for second, container in kept.items():
-                    yield from zip(repeat(first), ((second, *r) for r in container), container.values())
-            else:
-                yield from zip(repeat(first), kept, kept.values())
-        self.entries -= gone
+            for begin, container in ([((first, second), c) for second, c in kept.items()] if node
+                                     else [((first,), kept)]):
+                phrases += [begin + rest for rest in container]
+                counts += container.values()
+        self.entries -= len(phrases)
+        return phrases, counts
+
+
+class _Ids(dict):
+    """Ids of words, given in the order in which they are met."""
+
+    def __init__(self, words: list[bytes]):
+        super().__init__({b".": 0})
+        self.words = words
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = i = len(self.words)
+        self.words.append(word)
+        return i
 
 
 class _Language:
@@ -117,40 +129,39 @@ class _Language:
 
     def clear(self) -> None:
         self.words: list[bytes] = [b""]
-        self.ids: dict[bytes, int] = {b".": 0}
-        self.hashes: list[int] = [0]
+        self.ids = _Ids(self.words)
+        self.hashes = np.zeros(1, np.uint64)
+        self.ok = np.zeros(1, bool)
         self.single = np.zeros(1, np.int64)
 
-    def new_id(self, word: bytes) -> int:
-        """A new word's id; 0, which no phrase crosses, if it cannot be in a candidate."""
-        h = xxhash.xxh3_64_intdigest(word)
-        i = 0
-        if self.words_ok is None or self.words_ok.has(np.array([h], np.uint64) ^ self.seed)[0]:
-            i = len(self.words)
-            self.words.append(word)
-            self.hashes.append(h)
-        self.ids[word] = i
-        return i
-
     def hold(self, ts: list[bytes]) -> None:
-        ids = self.ids
-        self.held += [ids[t] if t in ids else self.new_id(t) for t in ts]
+        self.held += map(self.ids.__getitem__, ts)
+
+    def look_up(self) -> None:
+        """Hashes of the words that are new, and whether they can be in a candidate."""
+        new = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words[len(self.hashes):]), np.uint64)
+        ok = np.ones(len(new), bool) if self.words_ok is None else self.words_ok.has(new ^ self.seed)
+        self.hashes, self.ok = np.append(self.hashes, new), np.append(self.ok, ok)
 
     def take(self) -> tuple[np.ndarray, int]:
-        """The held ids, and from which on they are new. The last ones stay, for phrases that go on."""
+        """The held ids, 0 for words that no phrase crosses, and from which on they are new. The last
+        ones stay, for phrases that go on."""
+        self.look_up()
         ids, fresh = np.array(self.held, np.int64), self.fresh
+        ids[~self.ok[ids]] = 0
         self.held = self.held[-(LONGEST - 1):]
         self.fresh = len(self.held)
         return ids, fresh
 
 
-def _part(hashes: list[int], phrase: tuple, parts: int) -> int:
-    """The merging partition of a phrase: that of its first word, whose subtree is dealt over FANS
-    partitions by the words that follow."""
-    fan = 0
-    for i in phrase[1:]:
-        fan = fan * 31 + hashes[i]
-    return ((hashes[phrase[0]] >> 7) + (fan >> 9) % FANS * 0x9E3779B1) % parts
+def _parts(hashes: np.ndarray, phrases: np.ndarray, parts: int) -> np.ndarray:
+    """The merging partitions of phrases (rows of ids): that of the first word, whose subtree is dealt
+    over FANS partitions by the words that follow."""
+    fan = np.zeros(len(phrases), np.uint64)
+    for k in range(1, phrases.shape[1]):
+        fan = fan * np.uint64(31) + hashes[phrases[:, k]]
+    fan = (fan >> np.uint64(9)) % np.uint64(FANS) * np.uint64(0x9E3779B1)
+    return (((hashes[phrases[:, 0]] >> np.uint64(7)) + fan) % np.uint64(parts)).astype(np.int64)
 
 
 def _grams(ids: np.ndarray, fresh: int, n: int, pair_ok=None):
@@ -222,8 +233,8 @@ def count_runs(docs: DataFrame, lengths: tuple[int, ...], parts: int, words_ok=N
             return
         pair_ok = None
         if pairs_ok is not None and len(ids) > 1:
-            h = np.array(lang.hashes, np.uint64)
-            pair_ok = pairs_ok.has(_hash_pairs(h[ids[:-1]], h[ids[1:]]) ^ lang.seed)
+            h = lang.hashes[ids]
+            pair_ok = pairs_ok.has(_hash_pairs(h[:-1], h[1:]) ^ lang.seed)
         for n in lengths:
             rows, counts = _grams(ids, fresh, n, pair_ok)
             if not len(rows):
@@ -236,18 +247,27 @@ def count_runs(docs: DataFrame, lengths: tuple[int, ...], parts: int, words_ok=N
     def spill(lang: _Language, share: float):
         """Subtrees as sorted runs, a row for each partition that they go to."""
         runs: dict[int, list] = {}
-        words, hashes = lang.words, lang.hashes
+        words = lang.words
         if lengths == (1,):
-            for i in (np.flatnonzero(lang.single[1:]) + 1).tolist():
-                runs.setdefault((hashes[i] >> 7) % parts, []).append((words[i], int(lang.single[i])))
-            if lang.single[1:].any():
-                runs.setdefault(0, []).append((b"", int(lang.single[1:].sum())))
+            seen = np.flatnonzero(lang.single[1:]) + 1
+            phrases, counts = [(i,) for i in seen.tolist()], lang.single[seen].tolist()
+            if counts:
+                runs[0] = [(b"", sum(counts))]
             lang.single = np.zeros(1, np.int64)
         else:
-            for first, rest, n in lang.trie.take(share):
-                phrase = (first, *rest)
-                runs.setdefault(_part(hashes, phrase, parts), []).append(
-                    (b" ".join([words[i] for i in phrase]), n))
+            phrases, counts = lang.trie.take(share)
+        for n in lengths:
+            at = [i for i, p in enumerate(phrases) if len(p) == n]
+            if not at:
+                continue
+            ids = np.array([phrases[i] for i in at], np.int64)
+            part = _parts(lang.hashes, ids, parts)
+            texts = [b" ".join(x) for x in zip(*([words[i] for i in ids[:, k].tolist()] for k in range(n)))]
+            order = np.argsort(part, kind="stable")
+            cuts = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(order)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                here = order[lo:hi].tolist()
+                runs.setdefault(int(part[here[0]]), []).extend([(texts[i], counts[at[i]]) for i in here])
         for part, run in runs.items():
             run.sort()
             yield pa.RecordBatch.from_arrays(
