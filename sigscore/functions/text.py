@@ -29,3 +29,21 @@ def trim_blanks(x: Column | str) -> Column:
 def normalise_text(x: Column | str) -> Column:
     """Trim as above, then upper-case."""
     return F.upper(trim_blanks(x))
+
+
+def escape_breaks(x: Column | str) -> Column:
+    """Text on one line: ``\\`` for a backslash, ``\n`` and ``\r`` for line breaks."""
+    x = F.col(x) if isinstance(x, str) else x
+    for plain, escaped in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        x = F.replace(x, F.lit(plain), F.lit(escaped))
+    return x
+
+
+def unescape_breaks(x: Column | str) -> Column:
+    """What ``escape_breaks`` was given. Pairs of backslashes are taken first, from the left."""
+    x = F.col(x) if isinstance(x, str) else x
+
+    def breaks(part: Column) -> Column:
+        return F.replace(F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+
+    return F.array_join(F.transform(F.split(x, r"\\\\", -1), breaks), "\\")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigscore.functions.curves import Curve, score_expr, speedtest
+from sigscore.functions.curves import DEFAULT_CURVES, Curve, score_expr, speedtest
 from sigscore.operators.dimension import dim_current
 from sigscore.operators.projections import with_text_timestamps
 from sigscore.operators.sizing import DEFAULT_BROADCAST_MAX_BYTES, lookup_join
@@ -24,6 +24,31 @@ def score_signals(raw: DataFrame, curves: Mapping[int, Curve] | None = None,
     return scored.select(*SCORED_NO_HALFLIFE_COLUMNS)
 
 
+def with_score_by_subtype(raw: DataFrame, python_curves: Mapping[int, Curve],
+                          curves: Mapping[int, Curve] | None = None,
+                          default: float | None = 0.0) -> DataFrame:
+    """Raw signals with ``score``, where a caller's Python curve (``python_curves``: vectorised UDFs
+    by subtype) is fed the complete signals of its own subtype and nothing else.
+
+    Within one CASE a UDF is evaluated for every row. Here each Python curve gets a narrow branch
+    whose filter on the subtype stands below the UDF and reaches the scan; the rest is scored
+    natively; the branches are put together by a union, without a shuffle. Every row is in exactly
+    one branch: incomplete signals and other subtypes in the native one.
+    """
+    x = F.col("technical_value") * F.col("cust_relevance")
+    whole = F.col("technical_value").isNotNull() & F.col("cust_relevance").isNotNull()
+    subtype = F.col("meta_past_id")
+    native = {k: c for k, c in (DEFAULT_CURVES if curves is None else curves).items()
+              if k not in python_curves}
+    own = whole & subtype.isin([int(k) for k in python_curves])
+    out = raw.where(~F.coalesce(own, F.lit(False))).withColumn(
+        "score", score_expr("technical_value", "cust_relevance", "meta_past_id", native, default))
+    for code, curve in python_curves.items():
+        branch = raw.where(whole & (subtype == F.lit(int(code)).cast("bigint")))
+        out = out.unionByName(branch.withColumn("score", curve(x).cast("double")))
+    return out
+
+
 def score_simple(df: DataFrame, column: str = "x1", out: str = "y",
                  curve: Curve = speedtest) -> DataFrame:
     """``column`` and its curve score ``out``. Text input is read with ``try_cast``: a value

@@ -15,6 +15,9 @@ _FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4,
 _ROW_HEADER_BYTES = 8
 
 
+KEYS_MOST = 1000  # distinct keys that a filter lists
+
+
 def _fixed_width(data_type: T.DataType) -> int | None:
     name = data_type.simpleString()
     if name in _FIXED_WIDTH:
@@ -63,8 +66,26 @@ def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     oversized fact partition by map output, whatever fills it: one hot key, many of them, or
     NULL keys. That holds for exchanges the planner inserts, so no ``repartition`` stands before
     the join. A streaming fact gets the same join without that split, which Spark has for
-    batches only. Key names must differ between the two sides.
+    batches only. A batch's dimension is first cut down to the keys that the fact has
+    (``within_keys``). Key names must differ between the two sides.
     """
     if fits_broadcast(dim, broadcast_max_bytes):
         return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], how)
+    if not fact.isStreaming:
+        dim = within_keys(dim, dim_key, fact, fact_key)
     return fact.join(dim.hint("merge"), fact[fact_key] == dim[dim_key], how)
+
+
+def within_keys(dim: DataFrame, dim_key: str, fact: DataFrame, fact_key: str) -> DataFrame:
+    """The rows of ``dim`` whose key a row of ``fact`` may have: between its least and greatest key,
+    and, where the distinct keys between them are few (KEYS_MOST), among them. Both are plain
+    filters of values, which reach the scan of ``dim`` and skip files and row groups there. The
+    keys are taken from one column of ``fact``, pre-aggregated per task."""
+    keys = fact.select(F.col(fact_key).alias("k")).where(F.col("k").isNotNull()).distinct()
+    low, high = keys.agg(F.min("k"), F.max("k")).first()
+    if low is None:
+        return dim.where(F.lit(False))
+    some = [r["k"] for r in keys.limit(KEYS_MOST + 1).collect()]
+    if len(some) <= KEYS_MOST:
+        return dim.where(F.col(dim_key).isin(some))
+    return dim.where(F.col(dim_key).between(F.lit(low), F.lit(high)))

@@ -20,16 +20,17 @@ from sigscore.functions.curves import add_ten, hfc, speedtest
 from sigscore.functions.text import is_blank, normalise_text
 from sigscore.operators import (add_null_column, add_product_column, cook_signals,
                                 count_rows, dim_duplicate_keys, filter_gt, join_inner_alias,
-                                lookup_halflife, preview_rows, score_signals,
+                                lookup_halflife, preview_cooked, preview_rows, score_signals,
                                 score_signals_text_ts, score_simple, select_score_inputs,
-                                select_two)
+                                select_two, with_score_by_subtype)
 from sigscore.plans.job import JobConfig, run_hour
 from sigscore.schemas import (PARTITION_COLUMNS, SCORED_SCHEMA, SIMPLE_SCHEMA,
                               SIMPLE_STRING_SCHEMA)
 from sigscore.session import scratch_path, unique_name
 from sigscore.sinks import tables as W
 from sigscore.sources import fixtures as X
-from sigscore.sources.delimited import create_csv_table, load_csv_into_table, scan_csv
+from sigscore.sources.delimited import (create_csv_table, load_csv_into_table, load_csv_partition,
+                                        load_csv_quarantine, read_quarantine, scan_csv)
 from sigscore.sources.jdbc import read_dimension
 from sigscore.sources.tables import scan_partition, scan_table
 
@@ -69,7 +70,7 @@ def _round_score(df: DataFrame, col: str = "score") -> DataFrame:
 
 
 def _readback(spark, name) -> DataFrame:
-    return _round_score(spark.table(name).select(*SCORED_SCHEMA.fieldNames()))
+    return _round_score(W.read_table(spark, name).select(*SCORED_SCHEMA.fieldNames()))
 
 
 def _scored_table(spark, prefix, fmt="parquet", partitioned=True, compression=None) -> str:
@@ -122,6 +123,28 @@ def q_load_csv_into_table(spark, sf):
     return spark.table(name)
 
 
+@register("load_csv_quarantine", O.with_ctes(
+    "SELECT x1, x2, x3, CAST(NULL AS VARCHAR) AS raw FROM simple_signals WHERE x1 % 7 <> 0 "
+    "UNION ALL SELECT NULL, NULL, NULL, CASE WHEN x1 % 2 = 0 THEN concat(x1, ',', x2) "
+    "ELSE concat(x1, ',', x2, ',', x3, ',surplus') END FROM simple_signals WHERE x1 % 7 = 0"))
+def q_load_csv_quarantine(spark, sf):
+    """A folder in which some records have a field too few or too many: the table gets the good
+    ones, the others' raw text is kept beside it."""
+    path, aside = scratch_path(spark, "simple_mixed"), scratch_path(spark, "quarantine")
+    x1, line = F.col("x1"), F.concat_ws(",", "x1", "x2", "x3")
+    X.simple_signals(spark, sf).select(
+        F.when(x1 % 7 != 0, line).when(x1 % 2 == 0, F.concat_ws(",", "x1", "x2"))
+        .otherwise(F.concat(line, F.lit(",surplus")))).write.text(path)
+    name = unique_name("sig_simple")
+    W.create_table(spark, name, SIMPLE_SCHEMA, "parquet", (), scratch_path(spark, name))
+    load_csv_quarantine(spark, path, name, aside)
+    good = spark.table(name).withColumn("raw", F.lit(None).cast("string"))
+    bad = read_quarantine(spark, SIMPLE_SCHEMA, aside).select(
+        *[F.lit(None).cast("int").alias(c) for c in ("x1", "x2", "x3")],
+        F.col("_corrupt_record").alias("raw"))
+    return good.unionByName(bad)
+
+
 @register("select_score_inputs", O.with_ctes(
     "SELECT meta_past_id, technical_value, cust_relevance FROM raw_signals"))
 def q_select_score_inputs(spark, sf):
@@ -187,6 +210,14 @@ def q_score_custom_curve(spark, sf):
                       F.round(score_expr(curves=curves), 6).alias("score"))
 
 
+@register("score_custom_curve_split", O.with_ctes(
+    "SELECT root_id, meta_past_id, round(" + O.score_sql(curves=CUSTOM_CURVES_SQL)
+    + ", 6) AS score FROM raw_signals"))
+def q_score_custom_curve_split(spark, sf):
+    scored = with_score_by_subtype(_raw(spark, sf), {3: saturating_curve})
+    return scored.select("root_id", "meta_past_id", F.round("score", 6).alias("score"))
+
+
 @register("cook_signals", COOK)
 def q_cook_signals(spark, sf):
     return _round_score(_cooked(spark, sf))
@@ -284,6 +315,11 @@ def q_preview_rows(spark, sf):
     return preview_rows(_round_score(_cooked(spark, sf)), ["root_id", "meta_past_halflife"], 20)
 
 
+@register("preview_cooked", COOK + ' ORDER BY s.root_id, c.meta_past_halflife NULLS FIRST LIMIT 20')
+def q_preview_cooked(spark, sf):
+    return _round_score(preview_cooked(_raw(spark, sf), _dim(spark)))
+
+
 @register("count_rows", O.with_ctes("SELECT COUNT(*) AS n FROM raw_signals"))
 def q_count_rows(spark, sf):
     return count_rows(_raw(spark, sf))
@@ -330,6 +366,43 @@ def q_replace_partition(spark, sf):
     return _readback(spark, name)
 
 
+@register("load_csv_partition", O.cook_sql(
+    key=f"CASE WHEN {PART_WHERE} THEN s.meta_past_id ELSE c.dim_key END"))
+def q_load_csv_partition(spark, sf):
+    """Fill a table (dimension key kept), then load one hour's staged files, whose rows keep the
+    signal's key, into its partition, twice: only that hour changes."""
+    name, staged = _scored_table(spark, "sig_load_part"), scratch_path(spark, "staged_hour")
+    W.append(spark, _cooked(spark, sf, key_side="dim"), name)
+    hour = cook_signals(X.raw_signals(spark, sf, PART_DATE, PART_HOUR), _dim(spark))
+    W.write_csv_files(hour.drop(*PARTITION_COLUMNS), staged, partition_by=())
+    for _ in range(2):
+        load_csv_partition(spark, staged, name, PART_DATE, PART_HOUR, ours=True)
+    return _readback(spark, name)
+
+
+TEXTS = "SELECT doc_id, text, lang FROM documents"
+
+
+@register("save_csv_text", TEXTS)
+def q_save_csv_text(spark, sf):
+    """Whole document texts, line breaks and all, through a CSV table that is created with a half
+    of them and gets the others by an append."""
+    docs = X.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    half = F.coalesce(F.col("doc_id") % 2 == 0, F.lit(False))
+    name = unique_name("sig_csv_text")
+    W.save_table(docs.where(half), name, fmt="csv", path=scratch_path(spark, name))
+    W.append(spark, docs.where(~half), name)
+    return W.read_table(spark, name)
+
+
+@register("write_csv_text", TEXTS)
+def q_write_csv_text(spark, sf):
+    docs = X.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    path = scratch_path(spark, "csv_text")
+    W.write_csv_files(docs, path, partition_by=())
+    return W.read_csv_files(spark, path, docs.schema)
+
+
 @register("write_csv_files", COOK)
 def q_write_csv_files(spark, sf):
     path = scratch_path(spark, "scored_csv")
@@ -345,6 +418,30 @@ def q_append_partitioned(spark, sf):
     return _readback(spark, name)
 
 
+@register("append_once", COOK)
+def q_append_once(spark, sf):
+    """Two batches, one of them twice: its rows are there once."""
+    name = unique_name("sig_once")
+    W.create_batched_table(spark, name, SCORED_SCHEMA, location=scratch_path(spark, name))
+    cooked = _cooked(spark, sf)
+    early = F.coalesce(F.col("date") < F.lit("2024-01-16").cast("date"), F.lit(False))
+    for batch, rows in (("a", cooked.where(early)), ("b", cooked.where(~early)), ("a", cooked.where(early))):
+        W.append_once(rows, name, batch)
+    return _readback(spark, name)
+
+
+@register("compact_appends", COOK)
+def q_compact_appends(spark, sf):
+    """Two appends leave two files an hour; the compaction leaves one."""
+    name = _scored_table(spark, "sig_compact")
+    cooked = _cooked(spark, sf)
+    odd = F.coalesce(F.col("root_id") % 2 == 1, F.lit(False))
+    W.append(spark, cooked.where(odd), name)
+    W.append(spark, cooked.where(~odd), name)
+    W.compact(spark, name)
+    return _readback(spark, name)
+
+
 @register("write_few_columns", O.with_ctes('SELECT party_id, "date", "hour" FROM raw_signals'))
 def q_write_few_columns(spark, sf):
     name = unique_name("sig_few")
@@ -474,6 +571,22 @@ def q_cook_signals_stream(spark, sf):
     return _round_score(spark.read.parquet(out).select(*SCORED_COLUMNS))
 
 
+@register("cook_signals_batches", COOK)
+def q_cook_signals_batches(spark, sf):
+    """The incremental job with the dimension read and measured in each micro-batch, over two
+    arrivals, into a table that takes each batch once."""
+    from sigscore.streaming.hourly import read_raw_stream, start_cook_batches
+    landing, ckpt = (scratch_path(spark, n) for n in ("landing_b", "batches_ckpt"))
+    name = unique_name("sig_batches")
+    W.create_batched_table(spark, name, SCORED_SCHEMA, location=scratch_path(spark, name))
+    raw = _raw(spark, sf)
+    early = F.coalesce(F.col("date") < F.lit("2024-01-16").cast("date"), F.lit(False))
+    for arrival, part in (("a=1", early), ("a=2", ~early)):
+        raw.where(part).write.parquet(f"{landing}/{arrival}")
+        start_cook_batches(read_raw_stream(spark, f"{landing}/*"), _dim, name, ckpt).awaitTermination()
+    return _readback(spark, name)
+
+
 # ----------------------------------------------------------------------------- job
 @register("run_hour", O.cook_sql(where=PART_WHERE))
 def q_run_hour(spark, sf):

@@ -66,6 +66,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/sigscore/{name}_{uuid.uuid4().hex[:12]}"
 
 
+def materialise(df, name: str):
+    """Write a frame to the shared scratch folder and read it back: a cut of the lineage that
+    survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that this library wrote; False where the session cannot (Spark Connect)."""
+    if _context(spark) is None:
+        return False
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def unique_name(prefix: str) -> str:
     """A table or view name that no other call returns."""
     return f"{prefix}_{uuid.uuid4().hex[:12]}"

@@ -1,9 +1,10 @@
 """The scoring job as an incremental Structured Streaming query.
 
 Instead of an external scheduler calling the batch job once per hour, new raw files are picked
-up as they land: the same native score expression and the same stream-static broadcast join
-(the dimension is re-read each micro-batch, so a new dimension version is seen at the next
-batch), written by the Parquet file sink partitioned by ``date, hour``. The file sink's log
+up as they land. ``start_cook_batches`` re-reads and re-measures the dimension for every micro-batch,
+which is a batch job then with its own choice of join, and appends each batch once to a table.
+``start_cook_stream`` plans one stream-static join when it starts (the dimension's size is judged
+then; its rows are read again in each micro-batch), written by the Parquet file sink partitioned by ``date, hour``. The file sink's log
 makes the output exactly-once across restarts and lost executors; ``available_now`` processes
 whatever is there and stops, which is how an hourly trigger runs it.
 """
@@ -17,10 +18,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sigscore.functions.curves import Curve
-from sigscore.operators.enrich import enrich_halflife, score_signals
+from sigscore.operators.enrich import cook_signals, enrich_halflife, score_signals
 from sigscore.operators.dimension import dim_current
 from sigscore.operators.sizing import DEFAULT_BROADCAST_MAX_BYTES
 from sigscore.schemas import PARTITION_COLUMNS, RAW_SCHEMA
+from sigscore.sinks.tables import append_once
 
 
 def read_raw_stream(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA,
@@ -64,3 +66,28 @@ def start_cook_stream(raw_stream: DataFrame, dim: DataFrame, output_path: str,
     if on_start:
         on_start(query)
     return query
+
+
+def start_cook_batches(raw_stream: DataFrame, read_dim: Callable[[SparkSession], DataFrame], table: str,
+                       checkpoint_path: str, name: str = "cook", key_side: str = "fact",
+                       curves: Mapping[int, Curve] | None = None,
+                       broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+                       available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """Start the incremental job with the dimension read per micro-batch, into a table that
+    ``create_batched_table`` made.
+
+    Each micro-batch calls ``read_dim``, measures what it gets and joins as the batch job would: a
+    dimension that outgrows the broadcast budget between two batches is shuffle-joined from then
+    on. A batch is known by ``name`` and its number; one that is replayed is not appended again.
+    """
+    def cook(batch: DataFrame, number: int) -> None:
+        dim = read_dim(batch.sparkSession)
+        append_once(cook_signals(batch, dim, key_side, curves, broadcast_max_bytes), table,
+                    f"{name}-{number:012d}")
+
+    writer = raw_stream.writeStream.foreachBatch(cook).option("checkpointLocation", checkpoint_path)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
