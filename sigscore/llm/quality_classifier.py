@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigscore.llm._common import crc_bucket, materialise, table
-from sigscore.llm._learning import labelled_sample
+from sigscore.llm._learning import labelled_rows
 
 FOLDS, HELD_OUT_FOLD = 4, 2
 DOCS_PER_CLASS = 3_000  # bound of the labelled sample
@@ -89,17 +89,16 @@ def fit(y, x, cuts, mean, scale) -> Model:
     return model
 
 
-def measured(docs: DataFrame, labels: DataFrame, learn) -> DataFrame:
-    """x (the measures) of every labelled document that ``learn`` allows."""
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id and x (the measures) of every document: texts are read once, and never shuffled."""
     def measure(batches):
         for texts in batches:
             yield pa.array([[float(v) for v in measures(t)] for t in texts.to_pylist()],
                            pa.list_(pa.float64()))
 
     measure.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    ids = labels.where(learn & F.col("quality").cast("int").isin(0, 1)).select("doc_id").distinct()
-    return docs.select("doc_id", "text").join(ids, "doc_id").select(
-        F.arrow_udf(measure, "array<double>")("text").alias("x"))
+    return materialise(docs.select("doc_id", F.arrow_udf(measure, "array<double>")("text").alias("x")),
+                       "quality_measures")
 
 
 def statistics(rows: DataFrame, n: int):
@@ -128,20 +127,24 @@ def threshold_of(rows: DataFrame, model: Model, bad_share: float) -> float:
     return low if high is None else (low + high) / 2
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = DOCS_PER_CLASS) -> Model | None:
-    """Learns outside the held-out fold; None without rows of both classes. Weights are learned
-    from at most ``per_class`` documents of each class; the share of bad documents is counted over
-    all labels there, and statistics and threshold are taken over all labelled documents there."""
+def train(rows: DataFrame, labels: DataFrame, per_class: int = DOCS_PER_CLASS) -> Model | None:
+    """Learns from measured documents (``measured``) outside the held-out fold; None without rows of
+    both classes. Weights are learned from at most ``per_class`` documents of each class; the share
+    of bad documents is counted over all labels there, and statistics and threshold are taken over
+    all labelled documents there."""
     learn = crc_bucket(F.col("doc_id"), FOLDS) != HELD_OUT_FOLD
-    sample = labelled_sample(docs, labels, "quality", learn, per_class, SEED)
-    y = np.array([r[0] for r in sample])
+    # 2 * per_class rows of two dozen numbers; documents that share an id are all taken
+    sample = labelled_rows(rows, labels, "quality", learn, per_class, SEED).select("y", "x").orderBy(
+        "doc_id", "y", "x").limit(4 * per_class).collect()
+    y = np.array([r["y"] for r in sample])
     if not len(y) or y.min() == y.max():
         return None
-    x = np.array([measures(t) for _, t in sample])
+    x = np.array([r["x"] for r in sample])
     bad = labels.where(learn).agg(F.avg((F.col("quality") == 0).cast("double"))).first()[0]
-    rows = materialise(measured(docs, labels, learn), "quality_measures")
-    model = fit(y, x, *statistics(rows, x.shape[1]))
-    model.threshold = threshold_of(rows, model, bad or 0.0)
+    ids = labels.where(learn & F.col("quality").cast("int").isin(0, 1)).select("doc_id").distinct()
+    known = rows.join(ids, "doc_id").select("x")
+    model = fit(y, x, *statistics(known, x.shape[1]))
+    model.threshold = threshold_of(known, model, bad or 0.0)
     return model
 
 
@@ -153,20 +156,21 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = DOCS_PER
     equal scores; ties at the threshold are predicted 1. Only ``doc_id`` and ``text`` are read,
     and of ``labels`` doc_id and quality.
     """
-    model = train(docs, labels, per_class)
+    rows = measured(docs)
+    model = train(rows, labels, per_class)
 
     def score(batches):
-        for texts in batches:
-            t = texts.to_pylist()
-            if model is None or not t:
-                yield pa.array([1.0] * len(t), pa.float64())
+        for x in batches:
+            if model is None or not len(x):
+                yield pa.array([1.0] * len(x), pa.float64())
             else:
-                yield pa.array(model.score(np.array([measures(x) for x in t])), pa.float64())
+                yield pa.array(model.score(x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)),
+                               pa.float64())
 
     score.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     held_out = F.coalesce(crc_bucket(F.col("doc_id"), FOLDS) == HELD_OUT_FOLD, F.lit(False))
-    return docs.select("doc_id", held_out.alias("held_out"),
-                       F.arrow_udf(score, "double")("text").alias("score")).withColumn(
+    return rows.select("doc_id", held_out.alias("held_out"),
+                       F.arrow_udf(score, "double")("x").alias("score")).withColumn(
         "predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 

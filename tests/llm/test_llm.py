@@ -175,7 +175,7 @@ def test_toxicity(docs, labels, awkward):
     assert got.score.between(0, 1).all() and (got.predicted == (got.score >= 0.5)).all()
     seen = got[~got.held_out]
     assert (seen.toxic == seen.predicted).mean() > 0.95
-    model = toxicity.fit([(1, f"fine words. you are a grobian{i}. good day")
+    model = toxicity.fit_texts([(1, f"fine words. you are a grobian{i}. good day")
                           if i % 2 else (0, f"fine words. good day {i}.") for i in range(60)])
     text = "good day. what a grobianism! fine words."
     score, start, end, _ = model.score(text)
@@ -195,7 +195,7 @@ def test_long_clean_text_is_kept(spark, docs, labels, texts):
     kept = {r["doc_id"] for r in P.toxicity(spark, both, SF_SMALL).select("doc_id").collect()}
     assert {-1, -2} <= kept
     assert {r["score"] for r in toxicity.toxicity(long, labels.limit(0)).collect()} == {0.0}
-    model = toxicity.fit([(1, f"fine words. you are a grobian{i}. good day")
+    model = toxicity.fit_texts([(1, f"fine words. you are a grobian{i}. good day")
                           if i % 2 else (0, f"fine words. good day {i}.") for i in range(60)])
     text = "good day. fine words. " * 10_000
     assert model.score(text)[0] < 0.5 < model.score(text + "you are a grobian. " + text)[0]
@@ -214,7 +214,7 @@ def test_quality_classifier(docs, labels, awkward):
 
 
 def test_quality_statistics_over_all_rows(docs, labels, texts):
-    model = quality_classifier.train(docs, labels, per_class=4)
+    model = quality_classifier.train(quality_classifier.measured(docs), labels, per_class=4)
     y = {r["doc_id"]: r["quality"] for r in labels.collect()
          if r["doc_id"] in texts and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2}
     x = np.array([quality_classifier.measures(texts[i]) for i in y])
