@@ -11,7 +11,7 @@ let too much through, never too little; counts are exact, whatever it lets throu
 
 from __future__ import annotations
 
-import heapq
+import gc
 import re
 from itertools import chain
 
@@ -51,7 +51,8 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 class HatTrie:
-    """Counts of phrases, given as tuples of word ids of one length of two words or more."""
+    """Counts of phrases of word ids, held by the first id; the other ids are one integer for pairs
+    and a tuple for longer phrases."""
 
     def __init__(self):
         self.root: dict[int, tuple] = {}  # first id -> (is a node, its dict)
@@ -66,7 +67,7 @@ class HatTrie:
             for r, n in zip(rests, counts):
                 kept[r] = get(r, 0) + n
             self.entries += len(kept) - before
-            if len(kept) > BURST and len(rests[0]) > 1:
+            if len(kept) > BURST and type(rests[0]) is tuple:
                 node, kept = True, self._burst(kept)
             self.root[first] = (node, kept)
             return
@@ -83,24 +84,46 @@ class HatTrie:
             out.setdefault(r[0], {})[r[1:]] = n
         return out
 
-    def take(self, share: float = 1.0) -> tuple[list, list]:
-        """Takes whole subtrees out, the largest first, until ``share`` of the entries are gone;
-        gives the phrases and their counts."""
+    def take(self, share: float = 1.0) -> list[tuple]:
+        """Takes whole subtrees out, the largest first, until ``share`` of the entries are gone."""
         def size(item):
             node, kept = item[1]
             return sum(map(len, kept.values())) if node else len(kept)
 
-        phrases, counts, wanted = [], [], self.entries * share
+        gone, wanted, taken = 0, self.entries * share, []
         for first, (node, kept) in sorted(self.root.items(), key=size, reverse=True):
-            if len(phrases) >= wanted:
+            if gone >= wanted:
                 break
+            taken.append((first, node, kept))
+            gone += size((first, (node, kept)))
             del self.root[first]
+        self.entries -= gone
+        return taken
+
+    @staticmethod
+    def phrases(taken) -> tuple[dict, dict]:
+        """By number of words, the phrases of subtrees (arrays of ids) and their counts."""
+        firsts, sizes, seconds, pair_counts = [], [], [], []
+        longer: dict[int, tuple] = {}
+        for first, node, kept in taken:
+            if not node and type(next(iter(kept), None)) is int:
+                firsts.append(first)
+                sizes.append(len(kept))
+                seconds += kept
+                pair_counts += kept.values()
+                continue
             for begin, container in ([((first, second), c) for second, c in kept.items()] if node
                                      else [((first,), kept)]):
-                phrases += [begin + rest for rest in container]
-                counts += container.values()
-        self.entries -= len(phrases)
-        return phrases, counts
+                for rest, n in container.items():
+                    ids, counts = longer.setdefault(len(begin) + len(rest), ([], []))
+                    ids.append(begin + rest)
+                    counts.append(n)
+        ids = {n: np.array(p, np.int64) for n, (p, _) in longer.items()}
+        counts = {n: c for n, (_, c) in longer.items()}
+        if seconds:
+            ids[2] = np.stack([np.repeat(np.array(firsts, np.int64), sizes), np.array(seconds, np.int64)], axis=1)
+            counts[2] = pair_counts
+        return ids, counts
 
 
 class _Ids(dict):
@@ -240,7 +263,8 @@ def count_runs(docs: DataFrame, lengths: tuple[int, ...], parts: int, words_ok=N
             if not len(rows):
                 continue
             cuts = [0, *(np.flatnonzero(np.diff(rows[:, 0])) + 1).tolist(), len(rows)]
-            rests, counts = list(map(tuple, rows[:, 1:].tolist())), counts.tolist()
+            rests = rows[:, 1].tolist() if n == 2 else list(map(tuple, rows[:, 1:].tolist()))
+            counts = counts.tolist()
             for lo, hi in zip(cuts, cuts[1:]):
                 lang.trie.add(int(rows[lo, 0]), rests[lo:hi], counts[lo:hi])
 
@@ -250,24 +274,21 @@ def count_runs(docs: DataFrame, lengths: tuple[int, ...], parts: int, words_ok=N
         words = lang.words
         if lengths == (1,):
             seen = np.flatnonzero(lang.single[1:]) + 1
-            phrases, counts = [(i,) for i in seen.tolist()], lang.single[seen].tolist()
-            if counts:
-                runs[0] = [(b"", sum(counts))]
+            ids, counts = {1: seen[:, None]} if len(seen) else {}, {1: lang.single[seen].tolist()}
+            if len(seen):
+                runs[0] = [(b"", sum(counts[1]))]
             lang.single = np.zeros(1, np.int64)
         else:
-            phrases, counts = lang.trie.take(share)
-        for n in lengths:
-            at = [i for i, p in enumerate(phrases) if len(p) == n]
-            if not at:
-                continue
-            ids = np.array([phrases[i] for i in at], np.int64)
-            part = _parts(lang.hashes, ids, parts)
-            texts = [b" ".join(x) for x in zip(*([words[i] for i in ids[:, k].tolist()] for k in range(n)))]
+            ids, counts = HatTrie.phrases(lang.trie.take(share))
+        for n, phrases in ids.items():
+            part = _parts(lang.hashes, phrases, parts)
             order = np.argsort(part, kind="stable")
             cuts = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(order)]
+            pairs = list(zip(map(b" ".join, zip(*(map(words.__getitem__, phrases[order, k].tolist())
+                                                  for k in range(n)))),
+                             map(counts[n].__getitem__, order.tolist())))
             for lo, hi in zip(cuts, cuts[1:]):
-                here = order[lo:hi].tolist()
-                runs.setdefault(int(part[here[0]]), []).extend([(texts[i], counts[at[i]]) for i in here])
+                runs.setdefault(int(part[order[lo]]), []).extend(pairs[lo:hi])
         for part, run in runs.items():
             run.sort()
             yield pa.RecordBatch.from_arrays(
@@ -277,6 +298,13 @@ def count_runs(docs: DataFrame, lengths: tuple[int, ...], parts: int, words_ok=N
                 names=["part", "lang", "run", "counts"])
 
     def work(batches):
+        gc.disable()  # millions of small objects and no cycles among them
+        try:
+            yield from counted(batches)
+        finally:
+            gc.enable()
+
+    def counted(batches):
         langs: dict[str, _Language] = {}
         held = 0
         for batch in batches:
@@ -313,19 +341,21 @@ def count_runs(docs: DataFrame, lengths: tuple[int, ...], parts: int, words_ok=N
 
 def merged(runs: DataFrame, least: int) -> DataFrame:
     """lang, phrase, words, f of the phrases that occur ``least`` times or more: the sorted runs
-    of a partition are merged in order, and only one phrase's counts are held. The phrase "" has
-    words 0."""
+    of a partition, whose size follows BYTES_PER_PART, are merged in order (sorting what consists of
+    sorted runs merges them). The phrase "" has words 0."""
     def merge(batches):
         held, key = [], None
 
         def close():
             out, last, total = [], None, 0
-            for phrase, n in chain(heapq.merge(*(_unpacked(*x) for x in held)), [(None, 0)]):
+            for phrase, n in sorted(chain.from_iterable(_unpacked(*x) for x in held)):
                 if phrase != last:
-                    if last is not None and (total >= least or not last):
+                    if total >= least or last == b"":
                         out.append((last, total))
                     last, total = phrase, 0
                 total += n
+            if total >= least or last == b"":
+                out.append((last, total))
             return pa.RecordBatch.from_arrays(
                 [pa.array([key[1]] * len(out), pa.string()),
                  pa.array([p for p, _ in out], pa.binary()).cast(pa.string()),

@@ -88,8 +88,10 @@ def test_containers_burst(monkeypatch):
     assert trie.entries == len(want) and any(node for node, _ in trie.root.values())
     got = collections.Counter()
     for share in (0.5, 1.0):
-        for p, n in zip(*trie.take(share)):
-            got[p] += n
+        ids, counts = C.HatTrie.phrases(trie.take(share))
+        for n, phrases in ids.items():
+            for p, c in zip(phrases.tolist(), counts[n]):
+                got[tuple(p)] += c
     assert got == want and trie.entries == 0
 
 
