@@ -62,7 +62,7 @@ def main() -> None:
           "hashpartitioning` is a shuffle; `BroadcastExchange` ships the (size-checked) small "
           "side once; `PartitionFilters` / `PushedFilters` / `ReadSchema` show pruning and "
           "pushdown into the scan. The flagship and the hourly job have no shuffle at all. In "
-          "the beyond-the-bound case the initial plan is a sort-merge join on `(key, salt)`; "
+          "the beyond-the-bound case the initial plan is a sort-merge join on the key; "
           "on this small local data AQE demotes it to a broadcast at run time.\n")
     for title, df in cases:
         df.collect()  # execute, so the final adaptive plan is shown
