@@ -10,12 +10,13 @@ computed and pre-aggregated in tasks, and the vocabulary bounds what comes back.
 
 from __future__ import annotations
 
-import re
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,17 +25,16 @@ from sigscore.llm.packing import tokenizer_path
 
 FOLDS, HELD_OUT_FOLD = 4, 2
 DOCS_PER_LANGUAGE = 1_500  # bound of the learning sample
-SHARES = 16                # parts in which a language's ids are ranked first
+SPARE = 2                  # ids that a language's hash bound lets through, times its sample
 EM_STEPS = 2
 FLOOR = 1e-7               # each piece's least probability
-LONGEST = 48               # bytes; a longer word is scored in parts of this length
 CACHE = 200_000            # remembered words per worker
-PARTS_AT_ONCE = 8_192      # words that one forward pass goes over
+WORDS_AT_ONCE = 8_192      # words that one forward pass goes over
+LEAST_CHANCE = 1e-280      # words whose chance may fall below are summed in logarithms
 UNKNOWN = "und"
 SEED = 51
 
-_WORD = re.compile(r"[^\W\d_]+")
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
 
 
 def public_pieces(path: str | None = None) -> list[bytes]:
@@ -53,13 +53,13 @@ def public_pieces(path: str | None = None) -> list[bytes]:
 
 
 def words_of(text: str) -> list[str]:
+    """Runs of letters and the marks on them, lower-cased; numbers and number forms are none."""
     return _WORD.findall(text.lower())
 
 
-def _parts(word: str) -> list[bytes]:
-    """A word's bytes with the leading space that starts a piece, cut if it is very long."""
-    b = b" " + word.encode()
-    return [b[i:i + LONGEST] for i in range(0, len(b), LONGEST)]
+def _spaced(word: str) -> bytes:
+    """A word's bytes with the leading space that starts a piece."""
+    return b" " + word.encode()
 
 
 class Unigrams:
@@ -72,6 +72,11 @@ class Unigrams:
         self.at = {p: i for i, p in enumerate(table, 1)}
         self.rows = np.array([(0.0,) * len(languages), *table.values()]).reshape(
             len(table) + 1, len(languages))
+        with np.errstate(divide="ignore"):
+            self.logs = np.log(self.rows)
+        least = self.rows[self.rows > 0].min(initial=0.5)
+        # so many bytes cannot take a product of probabilities below LEAST_CHANCE
+        self.short = int(math.log(LEAST_CHANCE) / math.log(min(least, 0.5)))
 
     @property
     def table(self) -> dict[bytes, tuple]:
@@ -82,47 +87,82 @@ class Unigrams:
         return self.words([word])[0]
 
     def words(self, words: list[str]) -> np.ndarray:
-        """Log probabilities, words x languages. The forward pass goes over many words at a
+        """Log probabilities, words x languages. A forward pass goes over many words at a
         time, longest first, so that those which reach a byte are always the first ones."""
-        parts = sorted(((b, i) for i, w in enumerate(words) for b in _parts(w)),
+        order = sorted(((_spaced(w), i) for i, w in enumerate(words)),
                        key=lambda x: len(x[0]), reverse=True)
         total = np.zeros((len(words), len(self.languages)))
-        for lo in range(0, len(parts), PARTS_AT_ONCE):
-            some = [b for b, _ in parts[lo:lo + PARTS_AT_ONCE]]
-            size = np.array([len(b) for b in some])
-            # probabilities of so few bytes stay far above the smallest double
-            ahead = np.zeros((size[0] + 1, len(some), len(self.languages)))
-            ahead[0] = 1.0
+        split = sum(len(b) > self.short for b, _ in order)
+        for lo, hi, sums in ((0, split, self._log_sums), (split, len(order), self._sums)):
+            for at in range(lo, hi, WORDS_AT_ONCE):
+                some = order[at:min(hi, at + WORDS_AT_ONCE)]
+                total[[i for _, i in some]] = sums([b for b, _ in some])
+        return total
+
+    def _sums(self, some: list[bytes]) -> np.ndarray:
+        """Forward pass in plain probabilities, for words that cannot underflow."""
+        size = np.array([len(b) for b in some])
+        ahead = np.zeros((size[0] + 1, len(some), len(self.languages)))
+        ahead[0] = 1.0
+        for end in range(1, size[0] + 1):
+            reach = int(np.searchsorted(-size, -end, "right"))
+            for start in range(max(0, end - self.longest), end):
+                row = np.fromiter([self.at.get(b[start:end], 0) for b in some[:reach]], np.int64, reach)
+                hit = np.flatnonzero(row)
+                ahead[end, hit] += ahead[start, hit] * self.rows[row[hit]]
+        with np.errstate(divide="ignore"):
+            return np.log(ahead[size, np.arange(len(some))])
+
+    def _log_sums(self, some: list[bytes]) -> np.ndarray:
+        """The same in logarithms, for words of any length. Only the positions that a piece can
+        still reach back to are held, in a ring."""
+        size = np.array([len(b) for b in some])
+        ring = self.longest + 1
+        ahead = np.full((ring, len(some), len(self.languages)), -np.inf)
+        ahead[0] = 0.0
+        out = np.zeros((len(some), len(self.languages)))
+        with np.errstate(divide="ignore", invalid="ignore"):
             for end in range(1, size[0] + 1):
                 reach = int(np.searchsorted(-size, -end, "right"))
-                for start in range(max(0, end - self.longest), end):
-                    row = np.fromiter([self.at.get(b[start:end], 0) for b in some[:reach]], np.int64, reach)
-                    hit = np.flatnonzero(row)
-                    ahead[end, hit] += ahead[start, hit] * self.rows[row[hit]]
-            chance = ahead[size, np.arange(len(some))]
-            np.add.at(total, [i for _, i in parts[lo:lo + PARTS_AT_ONCE]],
-                      np.log(np.maximum(chance, 1e-300)))
-        return total
+                starts = range(max(0, end - self.longest), end)
+                row = np.fromiter((self.at.get(b[start:end], 0) for b in some[:reach]
+                                   for start in starts), np.int64, reach * len(starts))
+                used = row > 0
+                used[len(starts) - 1::len(starts)] = True  # each word has a place in the sums
+                hit = np.flatnonzero(used)
+                word, start = hit // len(starts), starts[0] + hit % len(starts)
+                terms = ahead[start % ring, word] + self.logs[row[hit]]
+                first = np.searchsorted(word, np.arange(reach))
+                top = np.maximum.reduceat(terms, first, axis=0)
+                parts = np.where(np.isfinite(terms), np.exp(terms - top[word]), 0.0)
+                ahead[end % ring, :reach] = top + np.log(np.add.reduceat(parts, first, axis=0))
+                done = np.flatnonzero(size[:reach] == end)
+                out[done] = ahead[end % ring, done]
+        return out
+
+
+def expected_pieces(b: bytes, logs: dict[bytes, float], longest: int) -> dict[bytes, float]:
+    """Expected number of times each piece is used in a random segmentation of ``b``, from the
+    pieces' log probabilities. Sums stay logarithms, so no length underflows."""
+    n = len(b)
 
+    def log_sum(terms):
+        top = max(terms, default=-math.inf)
+        return top if top == -math.inf else top + math.log(sum(math.exp(t - top) for t in terms))
 
-def expected_pieces(b: bytes, p: dict[bytes, float], longest: int) -> dict[bytes, float]:
-    """Expected number of times each piece is used in a random segmentation of ``b``."""
-    n = len(b)
-    ahead = [1.0] + [0.0] * n
-    cuts = []
+    ahead = [0.0]
     for end in range(1, n + 1):
-        for start in range(max(0, end - longest), end):
-            q = p.get(b[start:end])
-            if q:
-                cuts.append((start, end, q))
-                ahead[end] += ahead[start] * q
-    behind = [0.0] * n + [1.0]
-    for start, end, q in reversed(cuts):
-        behind[start] += q * behind[end]
+        ahead.append(log_sum([ahead[start] + logs[piece] for start in range(max(0, end - longest), end)
+                              if (piece := b[start:end]) in logs]))
+    behind = [-math.inf] * n + [0.0]
     out: dict[bytes, float] = defaultdict(float)
-    if ahead[n] > 0:
-        for start, end, q in cuts:
-            out[b[start:end]] += ahead[start] * q * behind[end] / ahead[n]
+    for start in range(n - 1, -1, -1) if ahead[n] > -math.inf else ():
+        found = [(piece, logs[piece] + behind[start + len(piece)])
+                 for end in range(start + 1, min(n, start + longest) + 1)
+                 if (piece := b[start:end]) in logs]
+        behind[start] = log_sum([x for _, x in found])
+        for piece, x in found:
+            out[piece] += math.exp(ahead[start] + x - ahead[n])
     return out
 
 
@@ -146,12 +186,14 @@ def _word_counts(sample: DataFrame) -> DataFrame:
 def _em_step(counts: DataFrame, model: dict[str, dict[bytes, float]], longest: int) -> DataFrame:
     """Expected piece counts (lang, piece, n) under the model."""
     def expect(batches):
+        logs: dict[str, dict] = {}
         for batch in batches:
             sums: dict[tuple, float] = defaultdict(float)
             for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
-                for b in _parts(word):
-                    for piece, x in expected_pieces(b, model[lang], longest).items():
-                        sums[lang, piece] += n * x
+                if lang not in logs:
+                    logs[lang] = {p: math.log(x) for p, x in model[lang].items()}
+                for piece, x in expected_pieces(_spaced(word), logs[lang], longest).items():
+                    sums[lang, piece] += n * x
             if sums:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k[0] for k in sums], pa.string()),
@@ -162,20 +204,28 @@ def _em_step(counts: DataFrame, model: dict[str, dict[bytes, float]], longest: i
         "lang", "piece").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, path: str | None = None, per_language: int = DOCS_PER_LANGUAGE) -> Unigrams:
-    """Learns from documents with a language outside the held-out fold, at most ``per_language``
-    of each language (smallest hashes of the id; only ids and languages are ranked, first
-    within shares of a language, so the last ranking sees SHARES * per_language rows of one at
-    most, however many tasks there are)."""
+def _sample_ids(docs: DataFrame, per_language: int) -> DataFrame:
+    """(doc_id, l): the ``per_language`` smallest hashes of the ids of each language outside the
+    held-out fold. An estimate of each language's ids (5 % off as a rule) bounds the hashes
+    first, so some SPARE * per_language distinct ids of a language are ranked at any size."""
     learn = (crc_bucket(F.col("doc_id"), FOLDS) != HELD_OUT_FOLD) & F.col("lang").isNotNull()
-    order = [F.xxhash64(F.lit(SEED), "doc_id"), F.col("doc_id")]
-    share = Window.partitionBy("lang", "share").orderBy(*order)
-    first = Window.partitionBy("lang").orderBy(*order)
-    ids = docs.where(learn).select("doc_id", "lang").withColumn(
-        "share", F.pmod(F.hash("doc_id"), F.lit(SHARES))).withColumn(
-        "rank", F.row_number().over(share)).where(F.col("rank") <= per_language).withColumn(
-        "rank", F.row_number().over(first)).where(F.col("rank") <= per_language)
-    ids = materialise(ids.select("doc_id", F.col("lang").alias("l")).distinct(), "language_ids")
+    ids = docs.where(learn).select("doc_id", F.col("lang").alias("l"))
+    counts = materialise(ids.groupBy("l").agg(
+        F.approx_count_distinct("doc_id").alias("n")), "language_sizes")
+    hashed = F.xxhash64(F.lit(SEED), F.col("doc_id"))
+    # the hash as a number from 0 to 1; the smallest hashes as signed numbers come first
+    place = (F.shiftright(hashed, 11) + F.lit(2**52)) / F.lit(2.0**53)
+    near = ids.join(counts, "l").where(
+        place * F.col("n") <= SPARE * per_language + 100).distinct()
+    first = Window.partitionBy("l").orderBy(hashed, F.col("doc_id"))
+    return near.withColumn("rank", F.row_number().over(first)).where(
+        F.col("rank") <= per_language).select("doc_id", "l")
+
+
+def train(docs: DataFrame, path: str | None = None, per_language: int = DOCS_PER_LANGUAGE) -> Unigrams:
+    """Learns from documents with a language outside the held-out fold, those of at most
+    ``per_language`` ids of each language (smallest hashes of the id)."""
+    ids = materialise(_sample_ids(docs, per_language), "language_ids")
     d = docs.select("doc_id", "lang", "text").alias("d")
     same = (F.col("d.doc_id") == F.col("i.doc_id")) & (F.col("d.lang") == F.col("i.l"))
     counts = materialise(_word_counts(d.join(ids.alias("i"), same, "left_semi").select(
@@ -249,7 +299,8 @@ def language_id(docs: DataFrame, path: str | None = None,
 
     Null texts and texts without a letter are ``und`` with score 0; so is everything when there
     is nothing to learn from. Rows with a null id are scored, never held out and never learned
-    from. Repeated rows get equal results. Texts are read whole, lower-cased, letters only.
+    from. Repeated rows get equal results. Texts are read whole, lower-cased; words are runs of
+    letters (Unicode categories L) with their marks (M), of any length, and never cut.
     """
     model = train(docs, path, per_language)
     held_out = F.coalesce(crc_bucket(F.col("doc_id"), FOLDS) == HELD_OUT_FOLD, F.lit(False))
