@@ -10,7 +10,10 @@ is filled with consecutive blocks of the source's permutation (disjoint by const
 rows are shuffled inside the shard.
 
 The number of blocks is bounded per source, so that windows and the tree run over tickets and
-never over documents: a source with a third of all rows is only more rows per block.
+never over documents: a source with a third of all rows is only more rows per block. A row is
+placed by its id and a digest of its text, so rows without an id or with one id in common are
+dealt like others. Rows equal in both are copies: they stand at one place, and where the last
+pass ends among them it takes a number of them.
 """
 
 from __future__ import annotations
@@ -132,23 +135,34 @@ def _plan_blocks(rows: DataFrame, shards: int) -> DataFrame:
         F.coalesce("places", none).alias("places")), "mix_blocks_placed")
 
 
-def _cell(doc_id) -> Column:
-    return F.pmod(_key(F.lit("cell"), doc_id), F.lit(BLOCKS_PER_SOURCE))
+def _digest(text: Column) -> Column:
+    """64 bits of a text; null counts as empty."""
+    return F.xxhash64(F.lit(SEED), F.coalesce(text, F.lit("")))
 
 
-def _turn(doc_id) -> Column:
-    return _key(F.lit("turn"), doc_id)
+def _block(doc_id, digest) -> Column:
+    return F.pmod(_key(doc_id, digest), F.lit(BLOCKS_PER_SOURCE))
+
+
+def _cell(doc_id, digest) -> Column:
+    return F.pmod(_key(F.lit("cell"), doc_id, digest), F.lit(BLOCKS_PER_SOURCE))
+
+
+def _turn(doc_id, digest) -> Column:
+    return _key(F.lit("turn"), doc_id, digest)
 
 
 def _cuts(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """For each block that the last pass takes in part, the place where it ends: whole cells
-    below ``cut_cell``, and in that cell the rows whose turn is at most ``cut_turn``. A row at
-    the end is taken when that brings the words nearer to the wanted. A cell is a thousandth of
-    a block, so a window holds a millionth of a source's narrow rows."""
+    below ``cut_cell``, in that cell the rows whose turn is below ``cut_turn``, and ``cut_take``
+    of the ``cut_copies`` rows of that turn. A row at the end is taken when that brings the words
+    nearer to the wanted. A cell is a thousandth of a block, and copies are counted before the
+    window, so it holds a millionth of a source's different rows."""
     partly = plan.where((F.col("want") > 0) & (F.col("want") < F.col("block_size")))
     same = F.col("x.source").eqNullSafe(F.col("p.source")) & (F.col("x.block") == F.col("p.block"))
     rows = sized.alias("x").join(partly.alias("p"), same).select(
-        "x.source", "x.block", "x.doc_id", "x.size", "want", _cell("x.doc_id").alias("cell"))
+        "x.source", "x.block", "x.size", "want", _cell("x.doc_id", "x.digest").alias("cell"),
+        _turn("x.doc_id", "x.digest").alias("turn"))
     order = Window.partitionBy("source", "block").orderBy("cell")
     cells = rows.groupBy("source", "block", "cell", "want").agg(F.sum("size").alias("cell_size"))
     cells = cells.withColumn("rest", F.col("want") - (F.sum("cell_size").over(order)
@@ -156,69 +170,105 @@ def _cuts(sized: DataFrame, plan: DataFrame) -> DataFrame:
     cells = cells.where((F.col("rest") > 0) & (F.col("rest") <= F.col("cell_size")))
     same = (F.col("x.source").eqNullSafe(F.col("c.source")) & (F.col("x.block") == F.col("c.block"))
             & (F.col("x.cell") == F.col("c.cell")))
-    inside = rows.alias("x").join(cells.alias("c"), same).select("x.*", "rest").withColumn(
-        "turn", _turn("doc_id"))
+    inside = rows.alias("x").join(cells.alias("c"), same).groupBy(
+        "x.source", "x.block", "x.cell", "turn", "x.size", "rest").agg(F.count("*").alias("copies"))
     upto = Window.partitionBy("source", "block", "cell").orderBy("turn", "size").rowsBetween(
         Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("size").over(upto), F.lit(0))
-    taken = before + F.col("size") / 2 <= F.col("rest")
-    return inside.withColumn("taken", taken).groupBy("source", "block").agg(
-        F.min("cell").alias("cut_cell"), F.max(F.when(F.col("taken"), F.col("turn"))).alias("cut_turn"))
-
-
-def _block(doc_id) -> Column:
-    return F.pmod(_key(doc_id), F.lit(BLOCKS_PER_SOURCE))
+    left = F.col("rest") - F.coalesce(F.sum(F.col("size") * F.col("copies")).over(upto), F.lit(0))
+    inside = inside.withColumn("left", left)
+    nearest = F.floor(F.col("left") / F.nullif(F.col("size"), F.lit(0)) + 0.5)
+    take = F.coalesce(F.greatest(F.least(nearest, F.col("copies")), F.lit(0)),
+                      F.when(F.col("left") >= 0, F.col("copies")).otherwise(0))
+    end = F.max(F.when(F.col("take") > 0, F.struct("turn", "take", "copies")))
+    return inside.withColumn("take", take).groupBy("source", "block").agg(
+        F.min("cell").alias("cut_cell"), end.alias("end")).select(
+        "source", "block", "cut_cell", F.col("end.turn").alias("cut_turn"),
+        F.col("end.take").alias("cut_take"), F.col("end.copies").alias("cut_copies"))
 
 
 def plan_mix(docs: DataFrame, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
-    """(sizes, plan). ``sizes`` has doc_id, source, size and block of every row; ``plan`` has one
-    row per (source, block) with the source's size and target, the block's ``places`` (copy,
-    shard) and where its last pass ends.
+    """(sizes, plan). ``sizes`` has doc_id, source, size, digest and block of every row; ``plan``
+    has one row per (source, block) with the source's size and target, the block's ``places``
+    (copy, shard) and where its last pass ends.
 
     Null and blank texts have size 0; such rows are taken with their block. Null is a source of
-    its own, the last one. Rows with a null id share a block. Repeated rows fall into one block,
-    count each and are taken alike. An empty table gives an empty plan, and a source without
-    words gets target 0.
+    its own, the last one. Rows with a null id, or with one id and different texts, are rows like
+    others. Repeated rows (same id, text and source) fall into one block and count each; where a
+    pass ends among them, as many are taken as come nearest to the target. An empty table gives
+    an empty plan, and a source without words gets target 0.
     """
     sized = materialise(docs.select(
         "doc_id", "source", n_words(F.col("text")).alias("size"),
-        _block("doc_id").alias("block")), "mix_sizes")
+        _digest(F.col("text")).alias("digest")).withColumn(
+        "block", _block("doc_id", "digest")), "mix_sizes")
     plan = _plan_blocks(sized, shards)
     cuts = _cuts(sized, plan)
     same = F.col("p.source").eqNullSafe(F.col("c.source")) & (F.col("p.block") == F.col("c.block"))
     plan = plan.alias("p").join(cuts.alias("c"), same, "left").select(
-        "p.*", "cut_cell", "cut_turn")
+        "p.*", "cut_cell", "cut_turn", "cut_take", "cut_copies")
     return sized, materialise(plan, "mix_plan")
 
 
+def _numbered(copies: DataFrame) -> DataFrame:
+    """Adds ``nth``, from 1, over the rows of a (source, block). Rows are numbered inside each
+    written part and the parts' counts summed up, so a hot group is never sorted in one task."""
+    held = materialise(copies.withColumn("at", F.monotonically_increasing_id()), "mix_copies")
+    held = held.withColumn("part", F.shiftright("at", 33))
+    order = Window.partitionBy("source", "block").orderBy("part")
+    counts = held.groupBy("source", "block", "part").agg(F.count("*").alias("n")).withColumn(
+        "before", F.sum("n").over(order) - F.col("n"))
+    inside = Window.partitionBy("source", "block", "part").orderBy("at")
+    same = (F.col("x.source").eqNullSafe(F.col("c.source")) & (F.col("x.block") == F.col("c.block"))
+            & (F.col("x.part") == F.col("c.part")))
+    return held.withColumn("in_part", F.row_number().over(inside)).alias("x").join(
+        counts.alias("c"), same).select(
+        *[f"x.{c}" for c in copies.columns], (F.col("in_part") + F.col("before")).alias("nth"))
+
+
 def _with_places(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Joins the plan to rows that have doc_id, source and block, and leaves out the last copy
-    of rows behind the end of the last pass. The plan has BLOCKS_PER_SOURCE rows per source; it
-    is broadcast when a count says that it is small, and joined by hash beyond."""
+    """Joins the plan to rows that have doc_id, source, digest and block, and leaves out the last
+    copy of rows behind the end of the last pass. The plan has BLOCKS_PER_SOURCE rows per source;
+    it is broadcast when a count says that it is small, and joined by hash beyond. Only where a
+    pass ends among equal rows are these numbered."""
+    split = F.col("cut_take") < F.col("cut_copies")
+    divided = not plan.where(split).isEmpty()
     if plan.count() <= BROADCAST_BLOCKS:
         plan = F.broadcast(plan)
     same = F.col("x.source").eqNullSafe(F.col("p.source")) & (F.col("x.block") == F.col("p.block"))
-    cell = _cell(F.col("x.doc_id"))
-    reached = F.col("cut_cell").isNull() | (cell < F.col("cut_cell")) | (
-        (cell == F.col("cut_cell")) & F.coalesce(_turn(F.col("x.doc_id")) <= F.col("cut_turn"),
-                                                 F.lit(False)))
+    joined = rows.alias("x").join(plan.alias("p"), same).select(
+        "x.*", "source_size", "target", "whole", "places", "cut_cell", "cut_turn", "cut_take",
+        "cut_copies", _cell("x.doc_id", "x.digest").alias("cell"),
+        _turn("x.doc_id", "x.digest").alias("turn"))
+    last = F.coalesce((F.col("cell") == F.col("cut_cell")) & (F.col("turn") == F.col("cut_turn"))
+                      & split, F.lit(False))
+    nth = F.lit(1).cast("long").alias("nth")
+    if divided:
+        joined = joined.where(~last).select("*", nth).unionByName(_numbered(joined.where(last)))
+    else:
+        joined = joined.select("*", nth)
+    reached = F.col("cut_cell").isNull() | (F.col("cell") < F.col("cut_cell")) | (
+        (F.col("cell") == F.col("cut_cell")) & F.coalesce(
+            (F.col("turn") < F.col("cut_turn")) | (
+                (F.col("turn") == F.col("cut_turn")) & (F.col("nth") <= F.col("cut_take"))),
+            F.lit(False)))
     places = F.when(reached, F.col("places")).otherwise(
         F.filter("places", lambda p: p["copy"] <= F.col("whole")))
-    return rows.alias("x").join(plan.alias("p"), same).select(
-        "x.*", "source_size", "target", places.alias("places"))
+    return joined.select(*rows.columns, "source_size", "target", places.alias("places"))
 
 
 def mix_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """The mixed corpus: the input's columns, a row for each time that it is taken, dealt to the
     shards of the tree and shuffled inside them. Large shards are dealt over several partitions
-    at random, which leaves every order as likely as before. Columns of any name may be there:
-    a row's own columns travel in one struct."""
+    at random, which leaves every order as likely as before. Copies of one row stand together.
+    Columns of any name may be there: a row's own columns travel in one struct."""
     _, plan = plan_mix(docs, shards)
     rows = docs.select(F.struct("*").alias("row"), "doc_id", "source",
-                       _block("doc_id").alias("block"))
-    mixed = _with_places(rows, plan).select("row", "doc_id", F.explode("places").alias("place"))
+                       _digest(F.col("text")).alias("digest")).withColumn(
+        "block", _block("doc_id", "digest"))
+    mixed = _with_places(rows, plan).select(
+        "row", "doc_id", "digest", F.explode("places").alias("place"))
     mixed = mixed.select("row", F.col("place.shard").alias("shard"),
-                         _key(F.lit("order"), "doc_id", "place.copy").alias("order"))
+                         _key(F.lit("order"), "doc_id", "digest", "place.copy").alias("order"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part = F.pmod(F.col("order"), F.lit(max(1, parts // shards)))
     mixed = mixed.repartition(parts, F.col("shard"), part).sortWithinPartitions("shard", "order")
