@@ -25,10 +25,7 @@ KEEP_POSTERIOR = 0.5
 EM_STEPS = 30
 PRIOR_GOOD = 0.85
 START_ON_GOOD, START_ON_BAD = 0.98, 0.4
-PRIOR_RANGE = (0.5, 0.99)
-ON_GOOD_RANGE = (0.9, 0.999)  # a rule seldom votes against a good document
-ON_BAD_RANGE = (0.11, 0.99)   # and may miss most bad ones, but votes against them more often
-SMOOTH = 2.0                  # pseudo-votes, half of them right
+SMOOTH = 2.0  # pseudo-votes of each rate, half of them right, and as many pseudo-documents
 
 ALL = 2**30  # as the length of a slice: to the end
 
@@ -161,8 +158,10 @@ def estimate_accuracies(patterns: list, names: list[str], steps: int = EM_STEPS)
     distributed aggregation over all documents and have at most 3 ** len(names) rows whatever
     the input, so the steps are plain arithmetic on the driver.
 
-    The start says that most documents are good and that a bad vote on a good document is rare;
-    the ranges keep a bad vote evidence against a document, so the classes cannot swap.
+    The start says that most documents are good and that a bad vote on a good document is rare.
+    Nothing else holds a rate but ``SMOOTH`` pseudo-votes, so a rule that knows nothing comes out
+    near one half on both classes and its votes weigh nothing. The classes are named at the end:
+    good is the one with fewer bad votes, over all rules.
     """
     acc = Accuracies(names)
 
@@ -171,9 +170,6 @@ def estimate_accuracies(patterns: list, names: list[str], steps: int = EM_STEPS)
         right = sum(w for w, vote in voted if vote * sign > 0)
         return (right + SMOOTH / 2) / (sum(w for w, _ in voted) + SMOOTH)
 
-    def within(x, bounds):
-        return min(bounds[1], max(bounds[0], x))
-
     for _ in range(steps if patterns else 0):
         prior, ratios = acc.log_ratios()
         good, bad = [], []
@@ -182,10 +178,14 @@ def estimate_accuracies(patterns: list, names: list[str], steps: int = EM_STEPS)
             p = 1 / (1 + math.exp(-odds))
             good.append(row["n"] * p)
             bad.append(row["n"] * (1 - p))
-        acc.prior = within(sum(good) / (sum(good) + sum(bad)), PRIOR_RANGE)
+        acc.prior = (sum(good) + SMOOTH / 2) / (sum(good) + sum(bad) + SMOOTH)
         for r in names:
-            acc.on_good[r] = within(rate(good, r, 1), ON_GOOD_RANGE)
-            acc.on_bad[r] = within(rate(bad, r, -1), ON_BAD_RANGE)
+            acc.on_good[r] = rate(good, r, 1)
+            acc.on_bad[r] = rate(bad, r, -1)
+    if sum(1 - acc.on_good[r] - acc.on_bad[r] for r in names) > 0:
+        acc.prior = 1 - acc.prior
+        acc.on_good, acc.on_bad = ({r: 1 - acc.on_bad[r] for r in names},
+                                   {r: 1 - acc.on_good[r] for r in names})
     return acc
 
 

@@ -168,6 +168,34 @@ def test_em_finds_a_useless_rule():
     assert quality_rules.estimate_accuracies([], names).prior == quality_rules.PRIOR_GOOD
 
 
+def test_em_gives_a_coin_no_weight():
+    """Votes drawn from known rates: three rules that know something and a coin."""
+    names, pick = ["sharp", "fair", "weak", "coin"], np.random.default_rng(5)
+    rates = {"sharp": (.98, .9), "fair": (.95, .7), "weak": (.8, .6), "coin": (.5, .5)}
+    good = pick.random(20_000) < 0.8
+    votes = [np.where(pick.random(len(good)) < np.where(good, g, 1 - b), 1, -1)
+             for g, b in rates.values()]
+    counts = collections.Counter(zip(*(v.tolist() for v in votes)))
+    rows = [dict(zip(names, k), n=n) for k, n in sorted(counts.items())]
+    acc = quality_rules.estimate_accuracies(rows, names, steps=200)
+    assert abs(acc.prior - 0.8) < 0.03
+    for r, (g, b) in rates.items():
+        assert abs(acc.on_good[r] - g) < 0.05 and abs(acc.on_bad[r] - b) < 0.05, r
+    _, ratios = acc.log_ratios()
+    assert all(abs(x) < 0.1 for x in ratios["coin"])
+    # the other way round, the classes are still named by their votes
+    turned = [{**{r: -row[r] for r in names}, "n": row["n"]} for row in rows]
+    other = quality_rules.estimate_accuracies(turned, names, steps=200)
+    assert all(other.on_good[r] + other.on_bad[r] > 0.98 for r in names) and other.prior < 0.25
+
+
+def test_verdicts_against_labels(docs, labels):
+    got = quality_rules.quality_rules(docs).join(labels, "doc_id").where("not base_failed").groupBy(
+        "quality", "kept").count().collect()
+    n = {(r["quality"], r["kept"]): r["count"] for r in got}
+    assert n.get((1, False), 0) <= 0.01 * n[1, True] and n[0, False] >= n.get((0, True), 0)
+
+
 # ---------------------------------------------------------------- learned scores
 def test_toxicity(docs, labels, awkward):
     got = toxicity.toxicity(docs, labels).toPandas().merge(labels.toPandas(), on="doc_id")
