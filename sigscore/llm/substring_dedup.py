@@ -3,10 +3,11 @@
 Every window of 13 words is an edge of the documents' de Bruijn graph (from its first 12 words to
 its last 12). Edges that lie in two documents or more are found by a shuffle of edge hashes,
 after each task has reduced its equal edges to the smallest document. Brought back to their
-documents, consecutive repeated edges with one source (the smallest document that holds them)
-compact into paths: (document, start, length, source). A second join takes each distinct path to
-its source document, where a second, independent hash of each of its windows must be found; what
-is not found there is not removed. Words covered by confirmed paths go.
+documents, consecutive repeated edges are walks through the graph of repeated edges; distinct walks
+are compacted to its nonbranching paths (``de_bruijn``), so that a passage that many documents
+share in part or whole is one path. A join takes each path to its source documents, where its
+nodes, by a second, independent hash, must stand in a row at some coordinate, or else each of its
+edges at one of its own; what is not found there is not removed. Words covered by confirmed edges go.
 
 Edges travel packed: one row per task and part of the hash space, eight bytes an edge plus
 run-length coded document ids.
@@ -21,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigscore.llm._common import WordHashes, materialise, ngram_hashes, table, text_slices
+from sigscore.llm._common import WordHashes, materialise, mix64, table, text_slices
+from sigscore.llm.de_bruijn import compact, steps
 
 WINDOW = 13
 EDGES_PER_TASK = 1 << 20     # a map task packs its edges whenever it holds so many
@@ -32,7 +34,39 @@ CHECK_SEED = 77              # of the second, independent hash
 EDGES = "part int, doc_id bigint, hashes binary, docs binary, counts binary"
 MARKS = "bucket int, docs binary, hashes binary, sources binary"
 RESULT = ("doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, "
-          "paths array<struct<start:int,length:int,source:bigint,checks:binary>>")
+          "paths array<struct<start:int,length:int,source:bigint,nodes:array<bigint>>>")
+
+
+_ODD = np.uint64(0xA24BAED4963EE407)
+
+
+def node_hashes(h: np.ndarray, n: int) -> np.ndarray:
+    """Hash of every n consecutive word hashes, put together from spans of doubling length."""
+    m = len(h) - n + 1
+    if m < 1:
+        return np.empty(0, np.uint64)
+    out, done, span, size = None, 0, h, 1
+    while size <= n:
+        if n & size:
+            part = span[done:done + m]
+            out = part if out is None else mix64(out + part * _ODD)
+            done += size
+        if 2 * size <= n:
+            span = mix64(span[:-size] + span[size:] * _ODD)
+        size *= 2
+    return out
+
+
+def edge_hashes(h: np.ndarray, window: int) -> np.ndarray:
+    """Hash of every window: its first node and its last word."""
+    nodes = node_hashes(h, window - 1)
+    return mix64(nodes[:-1] + h[window - 1:] * _ODD) if len(nodes) > 1 else np.empty(0, np.uint64)
+
+
+def pair_hashes(nodes: np.ndarray) -> np.ndarray:
+    """Hash of every edge between consecutive nodes."""
+    x = nodes.view(np.uint64)
+    return mix64(x[:-1] + mix64(x[1:]) * _ODD)
 
 
 def _by_document(h: np.ndarray, d: np.ndarray, source: np.ndarray):
@@ -56,10 +90,13 @@ def _edges(docs: DataFrame, parts: int, window: int) -> DataFrame:
         held: list[np.ndarray] = []
 
         def flush():
-            h = np.concatenate(held)
-            d = np.repeat(np.array(ids, np.int64), [len(x) for x in held])
-            order = np.lexsort((d, h))
+            who = np.argsort(np.array(ids, np.int64), kind="stable")
+            h = np.concatenate([held[i] for i in who])
+            d = np.repeat(np.array(ids, np.int64)[who], [len(held[i]) for i in who])
+            order = np.argsort(h, kind="stable")
             h, d = h[order], d[order]
+            once = np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])))
+            h, d = h[once], d[once]
             first = np.concatenate(([True], h[1:] != h[:-1]))
             source = d[np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))]
             again = d > source
@@ -86,7 +123,7 @@ def _edges(docs: DataFrame, parts: int, window: int) -> DataFrame:
             who = batch.column(0).to_pylist()
             for lo, texts in text_slices(batch, "text"):
                 for i, t in enumerate(texts):
-                    h = np.unique(ngram_hashes(known.of(t.split()), window)) if t else ()
+                    h = edge_hashes(known.of(t.split()), window) if t else ()
                     if len(h):
                         ids.append(who[lo + i])
                         held.append(h)
@@ -191,9 +228,9 @@ class _BucketMarks:
 
 
 def _cut(rows: DataFrame, window: int) -> DataFrame:
-    """Compacts marks to paths, cuts the covered words and digests the rest. Rows come sorted by
+    """Strings marks together to walks, cuts the covered words and digests the rest. Rows come sorted by
     bucket with the bucket's marks (kind 0) before its documents (kind 1), which pass one by one.
-    ``refused``: packed second hashes whose windows must stay."""
+    ``refused``: packed second hashes of edges whose windows must stay."""
     def cut(batches):
         known, checks = WordHashes(), WordHashes(CHECK_SEED)
         marks, current = _BucketMarks(), None
@@ -213,16 +250,16 @@ def _cut(rows: DataFrame, window: int) -> DataFrame:
                     gone, paths = np.zeros(len(ws), bool), []
                     mh, ms = marks.of(doc_id) if doc_id is not None else ((), ())
                     if len(mh):
-                        h = ngram_hashes(known.of(ws), window)
-                        c = ngram_hashes(checks.of(ws), window)
+                        h = edge_hashes(known.of(ws), window)
+                        c = node_hashes(checks.of(ws), window - 1).view(np.int64)
                         place = np.minimum(np.searchsorted(mh, h), len(mh) - 1)
                         marked = mh[place] == h
                         if refused is not None:
-                            marked &= ~np.isin(c, np.frombuffer(refused, np.uint64))
+                            marked &= ~np.isin(pair_hashes(c), np.frombuffer(refused, np.uint64))
                         for start, n, source in _paths_of(ms[place], marked):
                             gone[start:start + n + window - 1] = True
                             paths.append({"start": start, "length": n, "source": source,
-                                          "checks": c[start:start + n].tobytes()})
+                                          "nodes": c[start:start + n + 1]})
                     kept = b" ".join([w for w, g in zip(ws, gone.tolist()) if not g]
                                      if paths else ws)
                     out.append((doc_id, len(ws), int(gone.sum()),
@@ -237,46 +274,98 @@ def _cut(rows: DataFrame, window: int) -> DataFrame:
 
 
 _PATHS = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()),
-                             ("source", pa.int64()), ("checks", pa.binary())]))
-
-
-def _refused(docs: DataFrame, paths: DataFrame, window: int) -> DataFrame:
-    """(source, refused): of the distinct paths, the packed second hashes that no row of their
-    source has: none, but for collisions of the first hash."""
-    asked = paths.select(F.col("path.source").alias("source"), F.col("path.checks").alias("checks")
-                         ).distinct()
-    rows = asked.join(docs, F.col("source") == F.col("doc_id")).select("source", "checks", "text")
+                             ("source", pa.int64()), ("nodes", pa.list_(pa.int64()))]))
+
+
+def _spans(paths: DataFrame) -> DataFrame:
+    """(source, path, pieces): the compacted paths of all documents' walks, brought together per
+    source. A source's pieces of a path are no more than its own text."""
+    walks = paths.select(F.col("path.source").alias("source"), F.col("path.nodes").alias("nodes")).groupBy(
+        "nodes").agg(F.min("source").alias("source"))
+    walks = materialise(walks.select(F.monotonically_increasing_id().alias("walk"), "source", "nodes"), "walks")
+    return compact(walks).groupBy("source", "path").agg(
+        F.sort_array(F.collect_list(F.struct("place", "nodes"))).alias("pieces"))
+
+
+def stretches(places: list[int], pieces: list[np.ndarray]):
+    """Node sequences of pieces that follow each other, joined at their common node."""
+    held = []
+    for i, nodes in enumerate(pieces):
+        if held and places[i] != places[i - 1] + 1:
+            yield np.concatenate(held)
+            held = []
+        held.append(nodes[1:] if held else nodes)
+    if held:
+        yield np.concatenate(held)
+
+
+class _Coordinates:
+    """Places of a source text's nodes."""
+
+    def __init__(self, text: bytes | None, checks: WordHashes, window: int):
+        self.nodes = node_hashes(checks.of((text or b"").split()), window - 1).view(np.int64)
+        self.order = np.argsort(self.nodes, kind="stable")
+        self.ranked = self.nodes[self.order]
+        self.pairs = None
+
+    def missing(self, run: np.ndarray) -> np.ndarray:
+        """Places in ``run`` of the edges that the text does not have: none if all of it stands in
+        a row somewhere; else each edge is looked up by itself."""
+        lo, hi = np.searchsorted(self.ranked, run[0], "left"), np.searchsorted(self.ranked, run[0], "right")
+        for at in self.order[lo:min(hi, lo + 8)]:  # more places are left to the look-up by edges
+            if np.array_equal(self.nodes[at:at + len(run)], run):
+                return np.empty(0, np.int64)
+        if self.pairs is None:
+            self.pairs = np.unique(pair_hashes(self.nodes))
+        return np.flatnonzero(~np.isin(pair_hashes(run), self.pairs))
+
+
+def _refused(docs: DataFrame, spans: DataFrame, window: int) -> DataFrame:
+    """(u, v): edges of ``spans``, by their end nodes, that no row of their source has: none, but
+    for collisions of the first hash."""
+    rows = spans.withColumnRenamed("source", "of").join(docs, F.col("of") == F.col("doc_id")).select(
+        "of", "path", "pieces", "text")
 
     def verify(batches):
         checks = WordHashes(CHECK_SEED)
         last, own = None, None
         for batch in batches:
             for lo, texts in text_slices(batch, "text"):
-                source = batch.column(0).slice(lo, len(texts)).to_pylist()
-                asked = batch.column(1).slice(lo, len(texts)).to_pylist()
+                part = batch.slice(lo, len(texts))
                 out = []
-                for s, a, t in zip(source, asked, texts):
+                for s, path, pieces, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(),
+                                              part.column(2), texts):
                     if last != (s, t):
-                        last, own = (s, t), ngram_hashes(checks.of((t or b"").split()), window)
-                    a = np.frombuffer(a, np.uint64)
-                    missing = np.unique(a[~np.isin(a, own)])
-                    path = hashlib.blake2b(a, digest_size=16).digest()
-                    out += [(s, path, c.tobytes()) for c in missing]
+                        last, own = (s, t), _Coordinates(t, checks, window)
+                    found = pieces.values
+                    for run in stretches(found.field("place").to_pylist(),
+                                         [x.values.to_numpy() for x in found.field("nodes")]):
+                        out += [(s, path, int(run[i]), int(run[i + 1])) for i in own.missing(run)]
                 if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(zip(*out), (
-                            pa.int64(), pa.binary(), pa.binary()))],
-                        names=["source", "path", "check"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)],
+                                                     names=["source", "path", "u", "v"])
 
-    missing = materialise(rows.mapInArrow(verify, "source bigint, path binary, check binary"), "missing")
+    missing = materialise(rows.mapInArrow(verify, "source bigint, path bigint, u bigint, v bigint"), "missing")
     if missing.isEmpty():
-        return missing.select("source", F.col("check").alias("refused"))
-    # a source id may have several rows; a check is refused if it is missing in each of them
+        return missing.select("u", "v")
+    # a source id may have several rows; an edge is refused if it is missing in each of them
     sources = docs.join(missing.select("source").distinct(), F.col("doc_id") == F.col("source")).groupBy(
         "source").agg(F.count("*").alias("rows"))
-    each = missing.groupBy("source", "path", "check").agg(F.count("*").alias("n"))
-    return each.join(sources, "source").where("n = rows").select("source", "check").distinct().groupBy(
-        "source").agg(F.unhex(F.array_join(F.collect_list(F.hex("check")), "")).alias("refused"))
+    each = missing.groupBy("source", "path", "u", "v").agg(F.count("*").alias("n"))
+    return each.join(sources, "source").where("n >= rows").select("u", "v").distinct()
+
+
+def _refused_by_document(paths: DataFrame, refused: DataFrame) -> DataFrame:
+    """(r, refused): documents whose walks pass refused edges, with those edges' packed hashes."""
+    passed = steps(paths.select(F.col("doc_id").alias("walk"), F.col("path.nodes").alias("nodes")))
+    met = passed.join(refused, (F.col("node") == F.col("u")) & (F.col("after") == F.col("v"))).select(
+        "walk", "u", "v").distinct().groupBy("walk").agg(F.collect_list(F.struct("u", "v")).alias("pairs"))
+
+    @F.udf("binary")
+    def packed(pairs):
+        return b"".join(pair_hashes(np.array([p["u"], p["v"]], np.int64)).tobytes() for p in pairs)
+
+    return met.select(F.col("walk").alias("r"), packed("pairs").alias("refused"))
 
 
 def _with_marks(docs: DataFrame, marks: DataFrame, buckets: int) -> DataFrame:
@@ -313,14 +402,11 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     plain = docs.withColumn("refused", F.lit(None).cast("binary"))
     cut = materialise(_cut(_with_marks(plain, marks, buckets), window), "cut")
     paths = cut.select("doc_id", F.explode("paths").alias("path"))
-    refused = materialise(_refused(docs.where(F.col("doc_id").isNotNull()), paths, window), "refused")
+    refused = materialise(_refused(docs.where(F.col("doc_id").isNotNull()), _spans(paths), window), "refused")
     if refused.isEmpty():
         return cut
     # documents with a refused window are cut again without it
-    by_doc = paths.join(refused, F.col("path.source") == F.col("source")).select(
-        F.col("doc_id").alias("r"), "refused").distinct().groupBy("r").agg(
-        F.array_join(F.collect_list(F.hex("refused")), "").alias("x")).select(
-        "r", F.unhex("x").alias("refused"))
+    by_doc = materialise(_refused_by_document(paths, refused), "refused_docs")
     again = docs.join(by_doc, F.col("doc_id") == F.col("r")).select("doc_id", "text", "refused")
     rest = cut.join(by_doc, F.col("doc_id") == F.col("r"), "left_anti")
     return rest.unionByName(_cut(_with_marks(again, marks, buckets), window))

@@ -16,6 +16,7 @@ from sigscore.llm import (language_id, mixing, near_dedup, neighbours, packing,
                           quality_classifier, quality_rules, substring_dedup, toxicity, url_filter)
 from sigscore.llm._common import materialise, table
 from sigscore.llm.components import connected_components
+from sigscore.llm.de_bruijn import steps
 from tools.oracle_check import duck
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
@@ -342,8 +343,9 @@ def test_refused_windows_stay(spark, monkeypatch):
     t = " ".join(f"w{i}" for i in range(20))
     df = spark.createDataFrame([(1, t), (2, "x " + t)], "doc_id long, text string")
     assert {r["doc_id"]: r["n_removed"] for r in substring_dedup.find_repeats(df).collect()} == {1: 0, 2: 20}
-    refuse = lambda docs, paths, window: paths.select(
-        F.col("path.source").alias("source"), F.col("path.checks").alias("refused"))
+    refuse = lambda docs, spans, window: steps(spans.select(
+        F.col("path").alias("walk"), F.explode("pieces.nodes").alias("nodes"))).where(
+        "after IS NOT NULL").select(F.col("node").alias("u"), F.col("after").alias("v"))
     monkeypatch.setattr(substring_dedup, "_refused", refuse)
     assert {r["doc_id"]: r["n_removed"] for r in substring_dedup.find_repeats(df).collect()} == {1: 0, 2: 0}
 
@@ -356,10 +358,10 @@ def test_source_id_with_several_texts(spark):
     want = brute_cut([r for r in rows if r[1]])
     assert {r[0]: r[1:] for r in got} == {i: want[i] for i in (5, 6)} and want[5][1] == 20
     # checks that no row of the source has are still refused
-    paths = spark.createDataFrame([((1, b"x" * 8 + b"y" * 8),), ((1, b"y" * 8),)],
-                                  "path struct<source:long, checks:binary>")
-    refused = substring_dedup._refused(df, paths, substring_dedup.WINDOW).collect()
-    assert len(refused) == 1 and sorted(bytes(refused[0]["refused"])) == sorted(b"x" * 8 + b"y" * 8)
+    spans = spark.createDataFrame([(1, 7, [(0, [11, 12, 13])]), (1, 8, [(0, [12, 13])])],
+                                  "source long, path long, pieces array<struct<place:long, nodes:array<long>>>")
+    refused = substring_dedup._refused(df, spans, substring_dedup.WINDOW).collect()
+    assert sorted(map(tuple, refused)) == [(11, 12), (12, 13)]
 
 
 def test_substring_awkward(awkward):
