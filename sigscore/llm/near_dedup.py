@@ -298,3 +298,32 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = L
 
 def op1(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# All pairs that share a shingle, compared on their full sets: the links that hashing looks for.
+OP1_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+                             lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS p
+        FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * common >= 85 * (p.n + q.n - common)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM words
+  UNION
+  SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, w.doc_id = l.component_id AS kept
+FROM words w JOIN least l ON l.a = w.doc_id LEFT JOIN sizes s ON s.doc_id = w.doc_id
+"""

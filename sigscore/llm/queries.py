@@ -22,6 +22,7 @@ QUERIES = {
     "op13_collocations": collocations.op13,
 }
 ORACLE = {
+    "op1_near_dedup": near_dedup.OP1_SQL,
     "op5_substring_dedup": substring_dedup.OP5_SQL,
     "op11_prefix_trie": prefix_trie.OP11_SQL,
     "op13_collocations": collocations.OP13_SQL,

@@ -311,6 +311,14 @@ def test_mixing_awkward(awkward):
     assert mixing.mix_documents(awkward.limit(0)).count() == 0
 
 
+def test_near_dedup_equals_sql(docs):
+    sql = duck(SF_SMALL).sql(near_dedup.OP1_SQL).df()
+    got = near_dedup.near_duplicates(docs).toPandas()
+    cols = ["doc_id", "n_shingles", "component_id", "kept"]
+    assert sorted(sql[cols].itertuples(index=False, name=None)) == sorted(
+        got[cols].itertuples(index=False, name=None))
+
+
 # ---------------------------------------------------------------- substring dedup
 def brute_cut(rows, k=13):
     first = {}
