@@ -17,6 +17,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -45,9 +46,14 @@ RUNS = "part int, lang string, run binary, counts binary"
 COUNTS = "lang string, phrase string, words int, f bigint"
 
 
+def _spaced(text: bytes) -> bytes:
+    """A text in lower case (A-Z only), with b" . " between its pieces."""
+    return text.translate(_FOLD).replace(b".", b" . ")
+
+
 def tokens(text: bytes) -> list[bytes]:
     """Words of a text in lower case (A-Z only), with b"." between its pieces."""
-    return text.translate(_FOLD).replace(b".", b" . ").split()
+    return _spaced(text).split()
 
 
 class HatTrie:
@@ -145,7 +151,7 @@ class _Language:
     def __init__(self, lang: str, words_ok):
         self.lang, self.words_ok = lang, words_ok
         self.seed = np.uint64(xxhash.xxh3_64_intdigest(lang.encode()))
-        self.held: list[int] = []
+        self.held: list[np.ndarray] = []
         self.fresh = 0   # held tokens before this one have been counted
         self.trie = HatTrie()
         self.clear()
@@ -157,8 +163,15 @@ class _Language:
         self.ok = np.zeros(1, bool)
         self.single = np.zeros(1, np.int64)
 
-    def hold(self, ts: list[bytes]) -> None:
-        self.held += map(self.ids.__getitem__, ts)
+    def hold(self, text: bytes) -> int:
+        """Holds the ids of a text's tokens, distinct ones looked up once; how many there are."""
+        text = pa.array([_spaced(text)], pa.large_binary()).view(pa.large_string())
+        ts = pc.ascii_split_whitespace(text).flatten().dictionary_encode()
+        distinct = ts.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        ids = np.fromiter((self.ids[t] if t else -1 for t in distinct), np.int64, len(distinct))
+        ids = ids[ts.indices.to_numpy()]
+        self.held.append(ids[ids >= 0])  # white space at an end leaves an empty one
+        return len(self.held[-1])
 
     def look_up(self) -> None:
         """Hashes of the words that are new, and whether they can be in a candidate."""
@@ -170,10 +183,10 @@ class _Language:
         """The held ids, 0 for words that no phrase crosses, and from which on they are new. The last
         ones stay, for phrases that go on."""
         self.look_up()
-        ids, fresh = np.array(self.held, np.int64), self.fresh
+        ids, fresh = np.concatenate([np.empty(0, np.int64), *self.held]), self.fresh
+        self.held = [ids[-(LONGEST - 1):].copy()]
+        self.fresh = len(self.held[0])
         ids[~self.ok[ids]] = 0
-        self.held = self.held[-(LONGEST - 1):]
-        self.fresh = len(self.held)
         return ids, fresh
 
 
@@ -206,10 +219,17 @@ def _grams(ids: np.ndarray, fresh: int, n: int, pair_ok=None):
     # a phrase is numbered by its beginning's number and its last word
     key = ids[at]
     for k in range(1, n):
-        _, first, inverse, count = np.unique(key << 31 | ids[at + k], return_index=True,
-                                             return_inverse=True, return_counts=True)
-        key = inverse.reshape(-1)
-    return np.stack([ids[at[first] + k] for k in range(n)], axis=1), count
+        key = key << 31 | ids[at + k]
+        if n == 2:  # the number tells both words
+            key = np.sort(key)
+            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            return np.stack([key[first] >> 31, key[first] & (1 << 31) - 1], axis=1), np.diff(first, append=len(key))
+        order = np.argsort(key)
+        ordered = key[order]
+        new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+        key[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return np.stack([ids[at[order[first]] + k] for k in range(n)], axis=1), np.diff(first, append=len(order))
 
 
 def _hash_pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -304,34 +324,44 @@ def count_runs(docs: DataFrame, lengths: tuple[int, ...], parts: int, words_ok=N
         finally:
             gc.enable()
 
+    def all_counted(langs):
+        for x in langs.values():
+            count(x)
+        while sum(x.trie.entries for x in langs.values()) > ENTRIES:
+            yield from spill(max(langs.values(), key=lambda x: x.trie.entries), 0.5)
+
     def counted(batches):
         langs: dict[str, _Language] = {}
         held = 0
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for lo, texts in text_slices(batch, "text", 64):
+            for lo, texts in text_slices(batch, "text"):
+                joined: dict[str, bytearray] = {}
                 for name, text in zip(names[lo:], texts):
                     if name not in langs:
                         langs[name] = _Language(name, words_ok)
-                    lang = langs[name]
+                    several = joined.setdefault(name, bytearray())
                     for part in _slices(text):
-                        ts = tokens(part)
-                        lang.hold(ts)
-                        held += len(ts)
-                        if held >= TOKENS:
-                            held = 0
-                            for x in langs.values():
-                                count(x)
-                            while sum(x.trie.entries for x in langs.values()) > ENTRIES:
-                                yield from spill(max(langs.values(), key=lambda x: x.trie.entries), 0.5)
-                    lang.held.append(0)
-                    if sum(len(x.ids) for x in langs.values()) > KNOWN:
-                        for x in langs.values():  # at the end of a text no phrase goes on
-                            count(x)
-                            yield from spill(x, 1.0)
-                            x.held, x.fresh = [], 0
-                            x.clear()
-                        held = 0
+                        several += part
+                        if len(several) >= SLICE:  # parts end between words
+                            held += langs[name].hold(bytes(several))
+                            several.clear()
+                            if held >= TOKENS:
+                                held = 0
+                                yield from all_counted(langs)
+                    several += b"."
+                for name, several in joined.items():
+                    held += langs[name].hold(bytes(several))
+                if held >= TOKENS:
+                    held = 0
+                    yield from all_counted(langs)
+                if sum(len(x.ids) for x in langs.values()) > KNOWN:
+                    for x in langs.values():  # at the end of a text no phrase goes on
+                        count(x)
+                        yield from spill(x, 1.0)
+                        x.held, x.fresh = [], 0
+                        x.clear()
+                    held = 0
         for x in langs.values():
             count(x)
             yield from spill(x, 1.0)

@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from sigscore.llm import collocations as C
@@ -101,3 +102,28 @@ def test_long_texts_are_cut_between_words(monkeypatch):
     parts = list(C._slices(text))
     assert b"".join(parts) == text and len(parts) > 9
     assert [w for p in parts for w in C.tokens(p)] == C.tokens(text)
+
+
+def test_repeated_words_are_looked_up_once(monkeypatch):
+    """Counting costs a look-up for each distinct word of the texts held, not one for each word."""
+    asked = []
+
+    class Ids(C._Ids):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    class Texts:
+        def mapInArrow(self, work, schema):
+            return work
+
+    monkeypatch.setattr(C, "_Ids", Ids)
+    work = C.count_runs(Texts(), (2,), 4)
+    out = list(work([pa.RecordBatch.from_arrays([pa.array(["en"] * 50), pa.array(["New york, new york "] * 50)],
+                                                names=["lang", "text"])]))
+    assert sorted(asked) == [b".", b"new", b"york"]
+    got = collections.Counter()
+    for batch in out:
+        for run, counts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            got.update(dict(C._unpacked(run, counts)))
+    assert got == {b"new york": 100}
