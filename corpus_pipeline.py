@@ -15,7 +15,7 @@ from sigscore.llm.mixing import mix_documents
 from sigscore.llm.near_dedup import near_duplicates
 from sigscore.llm.packing import pack_documents
 from sigscore.llm.substring_dedup import remove_repeats
-from sigscore.llm.toxicity import THRESHOLD, score_documents, train
+from sigscore.llm.toxicity import THRESHOLD, scorer, train
 
 # Word shingles of near-duplicate stages, and their least similarity in percent.
 NEAR_SHINGLE_WORDS, NEAR_PERCENT = 5, 80
@@ -24,9 +24,7 @@ NEAR_SHINGLE_WORDS, NEAR_PERCENT = 5, 80
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that score as toxic. The model learns from ``labels`` and these documents."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    row = docs.select(F.struct("*").alias("row"), "text")
-    kept = score_documents(row, model).where(F.col("toxicity.score") < THRESHOLD)
-    return kept.select("row.*")
+    return docs.where(scorer(model)("text").getField("score") < THRESHOLD)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

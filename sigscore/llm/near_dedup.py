@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sigscore.llm._common import (WordHashes, materialise, mix64, ngram_hashes, table,
-                                  text_slices)
+                                  text_slices, tidy)
 from sigscore.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -70,6 +70,7 @@ def signatures(docs: DataFrame, size: int = SHINGLE_WORDS, sub_keys: int = SUB_K
     draw = lambda: rng.integers(0, 2**64, 2 * sub_keys * hashes, dtype=np.uint64)
     multipliers, offsets = draw() | np.uint64(1), draw()
 
+    @tidy
     def sign(batches):
         known = WordHashes()
         for batch in batches:
@@ -144,6 +145,7 @@ def _blocks(batches):
 
 def _compare(rows: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) of each (grp, block); rows: grp, block, node, label, turn, shingles."""
+    @tidy
     def compare(batches):
         links = Links(percent)
         for group in _blocks(batches):
@@ -168,6 +170,7 @@ def _sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
         members, F.col("doc_id") == F.col("node")).select("node", "grp", "chunk", "chunks", "text")
     schema = T.StructType([*rows.drop("text").schema.fields, T.StructField("shingles", T.BinaryType())])
 
+    @tidy
     def shingle(batches):
         known = WordHashes()
         for batch in batches:

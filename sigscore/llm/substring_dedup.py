@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigscore.llm._common import WordHashes, materialise, mix64, table, text_slices
+from sigscore.llm._common import WordHashes, materialise, mix64, table, text_slices, tidy
 from sigscore.llm.de_bruijn import compact, steps
 
 WINDOW = 13
@@ -84,6 +84,7 @@ def _edges(docs: DataFrame, parts: int, window: int) -> DataFrame:
     """Packed edges. Rows with null ``doc_id`` hold, for one part of the hash space, edges and
     the smallest document of the task that has each. Rows with a ``doc_id`` say that the edges
     ``hashes`` of that document are also in the task's documents ``docs``, which are smaller."""
+    @tidy
     def pack(batches):
         known = WordHashes()
         ids: list[int] = []
@@ -154,6 +155,7 @@ def _bucket(doc_id, buckets: int):
 def _marks(edges: DataFrame, parts: int, buckets: int) -> DataFrame:
     """Repeated edges of documents that are not their first, each with a smaller document that
     has it, packed in a row per part and bucket of documents."""
+    @tidy
     def find(batches):
         h, d, source = [], [], []    # edges to judge
         mh, md, ms = [], [], []      # marks that came along
@@ -231,6 +233,7 @@ def _cut(rows: DataFrame, window: int) -> DataFrame:
     """Strings marks together to walks, cuts the covered words and digests the rest. Rows come sorted by
     bucket with the bucket's marks (kind 0) before its documents (kind 1), which pass one by one.
     ``refused``: packed second hashes of edges whose windows must stay."""
+    @tidy
     def cut(batches):
         known, checks = WordHashes(), WordHashes(CHECK_SEED)
         marks, current = _BucketMarks(), None
@@ -326,6 +329,7 @@ def _refused(docs: DataFrame, spans: DataFrame, window: int) -> DataFrame:
     rows = spans.withColumnRenamed("source", "of").join(docs, F.col("of") == F.col("doc_id")).select(
         "of", "path", "pieces", "text")
 
+    @tidy
     def verify(batches):
         checks = WordHashes(CHECK_SEED)
         last, own = None, None

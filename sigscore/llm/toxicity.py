@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigscore.llm._common import crc_bucket, materialise, table
+from sigscore.llm._common import ROWS_PER_SLICE, crc_bucket, fresh, held, materialise, table, tidy
 from sigscore.llm._learning import labelled_rows
 
 FOLDS, HELD_OUT_FOLD = 5, 0
@@ -33,6 +33,7 @@ TASKS = 32               # that take the sample's texts apart
 START_BIAS = -6.0
 THRESHOLD = 0.5
 SEED = 31
+NOTHING = frozenset()    # shared by all words without a weight
 
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -59,7 +60,7 @@ class Model:
         """The features of a word that carry a weight."""
         if len(self.seen) >= CACHE:
             self.seen.clear()
-        self.seen[word] = found = frozenset(f for f in features_of(word) if f in self.weights)
+        self.seen[word] = found = frozenset(f for f in features_of(word) if f in self.weights) or NOTHING
         return found
 
     def score(self, text: str):
@@ -106,6 +107,7 @@ def _bags(batch: pa.RecordBatch):
 def _vocabulary(rows: DataFrame) -> list[str]:
     """Features that MIN_DOCS_WITH_WORD documents of the sample have, sorted. Documents are counted in
     Spark; what reaches the driver has each feature once."""
+    @tidy
     def features(batches):
         for batch in batches:
             for _, _, bag in _bags(batch):
@@ -120,6 +122,7 @@ def _vocabulary(rows: DataFrame) -> list[str]:
 def _numbered(rows: DataFrame, vocabulary: list[str]) -> list:
     """(y, the numbers of the sentences' features, how many each sentence has), packed 32-bit integers,
     of each document of the sample."""
+    @tidy
     def pack(batches):
         number = {w: i for i, w in enumerate(vocabulary)}
         for batch in batches:
@@ -215,12 +218,18 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = DOCS_PER_CLASS) -
 SCORES = "score double, worst_start int, worst_end int, worst_score double"
 
 
-def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """The input's columns and score, worst_start, worst_end, worst_score in one struct column
-    ``toxicity``. Only the text goes into a score."""
+def scorer(model: Model):
+    """A function of a text column: score, worst_start, worst_end, worst_score in one struct. A worker
+    holds a slice of the texts at a time; the words it remembers serve its later tasks of this query."""
+    query = fresh("toxicity")
+
+    @tidy
     def score(batches):
+        kept = held(query, lambda: model)
         for texts in batches:
-            out = [model.score(t or "") for t in texts.to_pylist()]
+            out = []
+            for lo in range(0, len(texts), ROWS_PER_SLICE):
+                out += [kept.score(t or "") for t in texts.slice(lo, ROWS_PER_SLICE).to_pylist()]
             yield pa.StructArray.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 4, (
                     pa.float64(), pa.int32(), pa.int32(), pa.float64()))],
@@ -228,7 +237,13 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
     from collections.abc import Iterator
     score.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return docs.withColumn("toxicity", F.arrow_udf(score, SCORES)("text"))
+    return F.arrow_udf(score, SCORES)
+
+
+def score_documents(docs: DataFrame, model: Model) -> DataFrame:
+    """The input's columns and score, worst_start, worst_end, worst_score in one struct column
+    ``toxicity``. Only the text goes into a score."""
+    return docs.withColumn("toxicity", scorer(model)("text"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = DOCS_PER_CLASS) -> DataFrame:
