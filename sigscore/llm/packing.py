@@ -17,16 +17,18 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigscore.llm._common import materialise, table
+from sigscore.llm._common import held, materialise, table, tidy
 
 CAPACITY = 2048
 END_ID = 0
 PIECES_PER_GROUP = 16_384
 TOKENIZER_FILE = "byte_bpe_50k.json"
 CACHE = 400_000  # remembered pieces of text per worker and kind
+ROWS_PER_SLICE, BYTES_PER_SLICE = 1024, 1 << 22  # of texts that are encoded at a time
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII signs but the apostrophe, which starts "'s"
@@ -48,8 +50,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.keep = keep
-        self.first: dict[str, bytes] = {}   # at the start of a line
-        self.spaced: dict[str, bytes] = {}  # after a lone space
+        self.known: dict[str, bytes] = {}   # words after a lone space; after a line feed, with it
+        self.starts: dict[str, bytes] = {}  # other pieces, as they stand at the start of a text
+        self.spaced: dict[str, bytes] = {}  # and after a lone space
         self.tails: dict[str, bytes] = {}   # runs of signs after a letter
         self.newline = self._ids(["\n"])[0]
         self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that start with a space
@@ -82,12 +85,18 @@ class Encoder:
             at = end
         return out
 
-    def _learn(self, known: dict[str, bytes], wanted: set[str], spaced: bool) -> dict[str, bytes]:
-        if len(known) > self.keep:
-            known.clear()
-        # signs after a letter are tokens of their own, so the word before them is encoded once
+    def _learn(self, words: list[str], ids: list) -> list:
+        """``ids`` with those of the words that were not known (None). Words that hold white space of
+        another kind, or nothing, stay None. Signs after a letter are tokens of their own, so the word
+        before them is encoded once."""
+        if len(self.known) > self.keep:
+            self.known = {w: x for w, x in zip(words, ids) if x is not None}
+        if len(self.tails) > self.keep:
+            self.tails.clear()
+        known, tails = self.known, self.tails
         cut, whole = {}, set()
-        for c in wanted.difference(known):
+        new = [i for i, x in enumerate(ids) if x is None]
+        for c in map(words.__getitem__, new):
             stem = c.rstrip(TAIL)
             if len(stem) < len(c) and stem[-1:].isalpha():
                 cut[c] = stem
@@ -95,57 +104,54 @@ class Encoder:
                     whole.add(stem)
             else:
                 whole.add(c)
-        if spaced:
-            plain = [c for c in whole if len(c.split()) == 1 and not c[0].isspace()
-                     and not c[-1].isspace()]
-            known.update(zip(plain, self._spaced_ids(plain)))
-            whole.difference_update(plain)
-        rest = list(whole)
-        known.update(zip(rest, self._ids([" " + c for c in rest] if spaced else rest)))
-        tails = self.tails
-        if len(tails) > self.keep:
-            tails.clear()
-        new = list({c[len(stem):] for c, stem in cut.items()}.difference(tails))
-        tails.update(zip(new, self._ids(new)))
+        lines = [w for c in whole if c[:1] == "\n" and (w := c[1:]).split() == [w]]
+        after = [c for c in whole if c[:1] != "\n" and c.split() == [c]]
+        known.update(zip(after, self._spaced_ids(after)))
+        known.update(("\n" + w, self.newline + x) for w, x in zip(lines, self._ids(lines)))
+        signs = list({c[len(stem):] for c, stem in cut.items()}.difference(tails))
+        tails.update(zip(signs, self._ids(signs)))
         for c, stem in cut.items():
-            known[c] = known[stem] + tails[c[len(stem):]]
-        return known
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+            if stem in known:
+                known[c] = known[stem] + tails[c[len(stem):]]
+        for i in new:
+            ids[i] = known.get(words[i])
+        return ids
+
+    def _pieces(self, text: str) -> bytes:
+        """Ids of a text with runs of white space, white space at an end, or other kinds of it."""
+        start, *rest = _LONE_SPACE.split(text)
+        for known, wanted, space in ((self.starts, {start}, ""), (self.spaced, set(rest), " ")):
+            if len(known) > self.keep:
+                known.clear()
+            new = list(wanted.difference(known))
+            known.update(zip(new, self._ids([space + c for c in new])))
+        return self.starts[start] + b"".join(map(self.spaced.__getitem__, rest))
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text, texts cut only where tokens cannot cross: the pre-tokens of
         this vocabulary take white space only as one leading space or as a run of its own."""
-        cut = []
-        for t in texts:
-            words = t.split()
-            gaps = len(words) - 1
-            if gaps < 0 or sum(map(len, words)) + gaps < len(t):
-                cut.append([_LONE_SPACE.split(t)])  # runs of white space, or some at an end
-                continue
-            lines = t.count("\n")
-            if not lines and t.count(" ") == gaps:
-                cut.append([words])
-            elif lines + t.count(" ") == gaps:
-                cut.append([line.split(" ") for line in t.split("\n")])
-            else:
-                cut.append([_LONE_SPACE.split(t)])  # white space of other kinds
-        wanted: set[str] = set()
-        for lines in cut:
-            for line in lines:
-                wanted.update(line[1:])
-        first = self._learn(self.first, {line[0] for lines in cut for line in lines}, False)
-        spaced = self._learn(self.spaced, wanted, True)
-        return [self.newline.join([first[line[0]] + b"".join([spaced[c] for c in line[1:]])
-                                   for line in lines]) for lines in cut]
-
-
-_ENCODERS: dict[str, Encoder] = {}
+        kind = pa.large_string()
+        texts = pa.array(texts, kind) if isinstance(texts, list) else texts.cast(kind)
+        # a line feed is put before the text and stays with the word after it, so that words that
+        # start a line, and the first one, are told from those after a space
+        cut = pc.split_pattern(pc.replace_substring(pc.binary_join_element_wise(
+            pa.scalar("", kind), texts, pa.scalar("\n", kind)), "\n", " \n"), " ")
+        words = cut.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = self._learn(distinct, list(map(self.known.get, distinct)))
+        odd = np.concatenate(([0], np.cumsum(np.array([x is None for x in ids], bool)[words.indices.to_numpy()])))
+        joined = pa.array(ids, pa.large_binary()).take(words.indices)
+        _, ends, data = joined.buffers()
+        ends, data = np.frombuffer(ends, np.int64), memoryview(data or b"")
+        # what stands before the first line feed is left out, and so are the ids of that line feed
+        first, last = cut.offsets.to_numpy()[:-1] + 1, cut.offsets.to_numpy()[1:]
+        return [data[a:b].tobytes() if plain else self._pieces(t.as_py()) for t, plain, a, b in zip(
+            texts, odd[first] == odd[last], (ends[first] + len(self.newline)).tolist(), ends[last].tolist())]
 
 
 def encoder_for(path: str) -> Encoder:
     """This worker process's encoder: what it remembers serves all tasks that run there."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return held(("encoder", path), lambda: Encoder(path))
 
 
 def _pieces_of(ids: bytes, capacity: int):
@@ -159,20 +165,32 @@ def _pieces_of(ids: bytes, capacity: int):
         start, end = end, end + capacity
 
 
+def _slices(texts: pa.Array, rows: int):
+    """(first, last + 1) of slices of at most ``rows`` rows that end once they have BYTES_PER_SLICE."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < len(ends):
+        before = ends[lo - 1] if lo else 0
+        hi = int(np.searchsorted(ends, before + BYTES_PER_SLICE)) + 1
+        yield lo, (hi := min(hi, lo + rows, len(ends)))
+        lo = hi
+
+
 def encode_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
-                  rows: int = 256) -> DataFrame:
+                  rows: int = ROWS_PER_SLICE) -> DataFrame:
     """One row per piece of every document: doc_id, piece, start, length, ids_crc32. A null or
     empty text is the end id alone."""
     path = path or tokenizer_path()
     end = END_ID.to_bytes(4, "little")
 
+    @tidy
     def encode(batches):
         encoder = encoder_for(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, rows):
-                ids, texts = (c.to_pylist() for c in batch.slice(lo, rows).columns)
+            for lo, hi in _slices(batch.column(1), rows):
+                ids, texts = (c.slice(lo, hi - lo) for c in batch.columns)
                 out = []
-                for doc_id, x in zip(ids, encoder.encode([t or "" for t in texts])):
+                for doc_id, x in zip(ids.to_pylist(), encoder.encode(texts.fill_null(""))):
                     out += [(doc_id, k, *p) for k, p in enumerate(_pieces_of(x + end, capacity))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, kind) for c, kind in zip(zip(*out), _PIECE_TYPES)],
