@@ -22,17 +22,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigscore.llm._common import WordHashes, materialise, mix64, table, text_slices, tidy
+from sigscore.llm._common import (BYTES_PER_BATCH, WordHashes, materialise, mix64, table,
+                                  text_slices, tidy)
 from sigscore.llm.de_bruijn import compact, steps
 
 WINDOW = 13
 EDGES_PER_TASK = 1 << 20     # a map task packs its edges whenever it holds so many
 BYTES_PER_PART = 12_000_000  # text whose edges one reducer holds, about two million
 BYTES_PER_BUCKET = 24_000_000  # text whose marks one task holds while its documents pass
+MARKS_PER_ROW = 1 << 15      # at most, so that rows of marks stay small in Spark
 CHECK_SEED = 77              # of the second, independent hash
 
 EDGES = "part int, doc_id bigint, hashes binary, docs binary, counts binary"
 MARKS = "bucket int, docs binary, hashes binary, sources binary"
+_EDGES = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("hashes", pa.binary()),
+                    ("docs", pa.binary()), ("counts", pa.binary())])
+_MARKS = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("hashes", pa.binary()),
+                    ("sources", pa.binary())])
 RESULT = ("doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, "
           "paths array<struct<start:int,length:int,source:bigint,nodes:array<bigint>>>")
 
@@ -69,15 +75,71 @@ def pair_hashes(nodes: np.ndarray) -> np.ndarray:
     return mix64(x[:-1] + mix64(x[1:]) * _ODD)
 
 
-def _by_document(h: np.ndarray, d: np.ndarray, source: np.ndarray):
-    """(document, its edges, their sources) of equally long arrays."""
-    if not len(d):
-        return
-    order = np.argsort(d, kind="stable")
-    h, d, source = h[order], d[order], source[order]
-    cuts = np.flatnonzero(d[1:] != d[:-1]) + 1
-    for lo, hi in zip([0, *cuts], [*cuts, len(d)]):
-        yield int(d[lo]), h[lo:hi], source[lo:hi]
+def _starts(h: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate((np.ones(min(len(h), 1), bool), h[1:] != h[:-1])))
+
+
+def _joined(arrays: list[np.ndarray]) -> np.ndarray:
+    """The arrays as one; the list gives them up."""
+    whole = np.concatenate(arrays)
+    arrays.clear()
+    return whole
+
+
+def _batches(rows, schema: pa.Schema):
+    """Batches of rows of packed arrays, each of about BYTES_PER_BATCH: a task never holds all of its
+    rows packed."""
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), schema.types)],
+                                          schema=schema)
+
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row if isinstance(x, bytes))
+        if size >= BYTES_PER_BATCH:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+def _packed_edges(ids: list[int], held: list[np.ndarray], parts: int):
+    """Rows of EDGES from the edges ``held`` of the documents ``ids``; both lists are emptied. Documents
+    go by their rank, in four bytes, until they are packed."""
+    names, rank = np.unique(np.array(ids, np.int64), return_inverse=True)
+    who = np.argsort(rank, kind="stable")
+    d = np.repeat(rank[who].astype(np.int32), [len(held[i]) for i in who])
+    h = np.concatenate([held[i] for i in who])
+    ids.clear()
+    held.clear()
+    order = np.argsort(h, kind="stable")  # equal edges by document
+    h, d = h[order], d[order]
+    del order
+    starts = _starts(h)
+    source = np.repeat(d[starts], np.diff(starts, append=len(h)))
+    again = np.flatnonzero(d > source)
+    again = again[np.lexsort((h[again], d[again]))]
+    ah, ad, source = h[again], d[again], source[again]
+    h, d = h[starts], d[starts]
+    del starts, again
+    if len(ah):
+        once = np.concatenate(([True], (ah[1:] != ah[:-1]) | (ad[1:] != ad[:-1])))
+        ah, ad, source = ah[once], ad[once], source[once]
+        cuts = _starts(ad)
+        for lo, hi in zip(cuts, [*cuts[1:], len(ad)]):
+            yield (int(ah[lo] % np.uint64(parts)), int(names[ad[lo]]), ah[lo:hi].tobytes(),
+                   names[source[lo:hi]].tobytes(), None)
+    del ah, ad, source
+    part = (h % np.uint64(parts)).astype(np.int32)
+    order = np.lexsort((d, part))
+    part = part[order]
+    cuts = _starts(part)
+    for lo, hi in zip(cuts, [*cuts[1:], len(part)]):
+        own = order[lo:hi]
+        which, n = np.unique(d[own], return_counts=True)
+        yield (int(part[lo]), None, h[own].tobytes(), names[which].tobytes(), n.astype(np.int32).tobytes())
 
 
 def _edges(docs: DataFrame, parts: int, window: int) -> DataFrame:
@@ -89,36 +151,6 @@ def _edges(docs: DataFrame, parts: int, window: int) -> DataFrame:
         known = WordHashes()
         ids: list[int] = []
         held: list[np.ndarray] = []
-
-        def flush():
-            who = np.argsort(np.array(ids, np.int64), kind="stable")
-            h = np.concatenate([held[i] for i in who])
-            d = np.repeat(np.array(ids, np.int64)[who], [len(held[i]) for i in who])
-            order = np.argsort(h, kind="stable")
-            h, d = h[order], d[order]
-            once = np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])))
-            h, d = h[once], d[once]
-            first = np.concatenate(([True], h[1:] != h[:-1]))
-            source = d[np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))]
-            again = d > source
-            rows = [(int(a[0] % np.uint64(parts)), x, a.tobytes(), b.tobytes(), None)
-                    for x, a, b in _by_document(h[again], d[again], source[again])]
-            h, d = h[first], d[first]
-            part = (h % np.uint64(parts)).astype(np.int64)
-            order = np.lexsort((d, part))
-            h, d, part = h[order], d[order], part[order]
-            cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
-            for lo, hi in zip([0, *cuts], [*cuts, len(part)]):
-                who, n = np.unique(d[lo:hi], return_counts=True)
-                rows.append((int(part[lo]), None, h[lo:hi].tobytes(), who.tobytes(),
-                             n.astype(np.int32).tobytes()))
-            ids.clear()
-            held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), (
-                    pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
-                names=["part", "doc_id", "hashes", "docs", "counts"])
-
         n = 0
         for batch in batches:
             who = batch.column(0).to_pylist()
@@ -130,10 +162,10 @@ def _edges(docs: DataFrame, parts: int, window: int) -> DataFrame:
                         held.append(h)
                         n += len(h)
                 if n >= EDGES_PER_TASK:
-                    yield flush()
+                    yield from _batches(_packed_edges(ids, held, parts), _EDGES)
                     n = 0
         if held:
-            yield flush()
+            yield from _batches(_packed_edges(ids, held, parts), _EDGES)
 
     return docs.mapInArrow(pack, EDGES)
 
@@ -152,45 +184,60 @@ def _bucket(doc_id, buckets: int):
                   F.lit(buckets)).cast("int")
 
 
-def _marks(edges: DataFrame, parts: int, buckets: int) -> DataFrame:
-    """Repeated edges of documents that are not their first, each with a smaller document that
-    has it, packed in a row per part and bucket of documents."""
-    @tidy
-    def find(batches):
-        h, d, source = [], [], []    # edges to judge
-        mh, md, ms = [], [], []      # marks that came along
-        for batch in batches:
-            for who, x, docs, n in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4))):
-                x, docs = np.frombuffer(x, np.uint64), np.frombuffer(docs, np.int64)
-                if who is None:
-                    h.append(x)
-                    d.append(np.repeat(docs, np.frombuffer(n, np.int32)))
-                else:
-                    mh.append(x)
-                    md.append(np.full(len(x), who, np.int64))
-                    ms.append(docs)
-        if h:
-            h, d = np.concatenate(h), np.concatenate(d)
-            order = np.lexsort((d, h))
-            h, d = h[order], d[order]
-            first = np.concatenate(([True], h[1:] != h[:-1]))
-            source = d[np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))]
+def _repeated(batches, buckets: int):
+    """Rows of MARKS from the rows of EDGES of some parts of the hash space."""
+    h, d = [], []                # edges to judge
+    mh, md, ms = [], [], []      # marks: edge, document, source
+    for batch in batches:
+        for who, x, docs, n in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4))):
+            x, docs = np.frombuffer(x, np.uint64), np.frombuffer(docs, np.int64)
+            if who is None:
+                h.append(x)
+                d.append(np.repeat(docs, np.frombuffer(n, np.int32)))
+            else:
+                mh.append(x)
+                md.append(np.full(len(x), who, np.int64))
+                ms.append(docs)
+    batch = x = docs = n = None
+    if h:
+        h, d = _joined(h), _joined(d)
+        order = np.argsort(h)
+        h = h[order]
+        d = d[order]
+        del order
+        counts = np.diff(_starts(h), append=len(h))
+        several = np.repeat(counts > 1, counts)
+        h = h[several]               # most edges are in one document alone
+        d = d[several]
+        del counts, several
+        if len(h):
+            starts = _starts(h)
+            source = np.repeat(np.minimum.reduceat(d, starts), np.diff(starts, append=len(h)))
             again = d > source
             mh.append(h[again])
             md.append(d[again])
             ms.append(source[again])
-        if not mh:
-            return
-        h, d, source = np.concatenate(mh), np.concatenate(md), np.concatenate(ms)
-        bucket = _bucket_of(d, buckets)
-        order = np.lexsort((d, bucket))
-        h, d, source, bucket = h[order], d[order], source[order], bucket[order]
-        cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
-        for lo, hi in zip([0, *cuts], [*cuts, len(d)]) if len(d) else ():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([bucket[lo]], pa.int32()),
-                 *(pa.array([x[lo:hi].tobytes()], pa.binary()) for x in (d, h, source))],
-                names=["bucket", "docs", "hashes", "sources"])
+            del starts, source, again
+        h = d = None
+    if not mh:
+        return
+    h, d, source = _joined(mh), _joined(md), _joined(ms)
+    bucket = _bucket_of(d, buckets)
+    order = np.lexsort((d, bucket))
+    bucket = bucket[order]
+    cuts = _starts(bucket)
+    for lo, hi in zip(cuts, [*cuts[1:], len(bucket)]):
+        for at in range(lo, hi, MARKS_PER_ROW):
+            own = order[at:min(hi, at + MARKS_PER_ROW)]
+            yield int(bucket[lo]), d[own].tobytes(), h[own].tobytes(), source[own].tobytes()
+
+
+def _marks(edges: DataFrame, parts: int, buckets: int) -> DataFrame:
+    """Repeated edges of documents that are not their first, each with a smaller document that
+    has it, packed in rows per part and bucket of documents."""
+    @tidy
+    def find(batches):
+        yield from _batches(_repeated(batches, buckets), _MARKS)
 
     # one part may share a partition with others; a hash is in one part, so in one partition
     return edges.repartition(parts, "part").mapInArrow(find, MARKS)
@@ -210,20 +257,20 @@ class _BucketMarks:
     """The marks of one bucket's documents, found by document."""
 
     def __init__(self):
-        self.packed, self.sorted = [], None
+        self.packed, self.sorted = ([], [], []), None
 
     def add(self, docs: bytes, hashes: bytes, sources: bytes) -> None:
-        self.packed.append((np.frombuffer(docs, np.int64), np.frombuffer(hashes, np.uint64),
-                            np.frombuffer(sources, np.int64)))
+        for held, x, kind in zip(self.packed, (docs, hashes, sources), (np.int64, np.uint64, np.int64)):
+            held.append(np.frombuffer(x, kind))
 
     def of(self, doc_id: int):
         """(hashes, sources) of a document, sorted by hash and source."""
         if self.sorted is None:
-            d, h, s = (np.concatenate(x) for x in zip(*self.packed)) if self.packed else (
-                np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64))
-            self.packed = []
-            order = np.lexsort((s, h, d))
-            self.sorted = d[order], h[order], s[order]
+            self.sorted = [_joined(x) for x in self.packed] if self.packed[0] else [
+                np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)]
+            order = np.lexsort(self.sorted[::-1])
+            for i in range(3):
+                self.sorted[i] = self.sorted[i][order]
         d, h, s = self.sorted
         lo, hi = np.searchsorted(d, [doc_id, doc_id + 1])
         return h[lo:hi], s[lo:hi]
